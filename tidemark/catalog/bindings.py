@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.accepted import accepted_rows
-from tidemark.operators.features import add_schedule_features, featured_rows
-from tidemark.operators.history import add_history, day_totals, history_table
+from tidemark.operators.accepted import accepted_rows, derive_columns, unique_rows
+from tidemark.operators.features import add_schedule_features
+from tidemark.operators.history import attach_history, day_totals, history_table
 from tidemark.operators.splits import add_split
 from tidemark.operators.staging import stage
+from tidemark.sources.shared import save_shared
 from tidemark.spec import ENTITIES, SplitBounds
 
 # Bounds inside the range of l_shipdate, so that rows fall before, into and after every split.
@@ -27,11 +29,24 @@ EVENT_VALUE = 15.0
 EVENT_ENTITIES = ("user_id", "event_type")
 DAY_SECONDS = 86400.0
 
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table that Spark would scan in fewer tasks than it has cores, dealt out to all of them.
+
+    Such a table is no larger than one scan split per core; a larger one is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve text fields per line item, with defects planted by divisibility of the part key.
 
@@ -43,7 +58,7 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     sn = nation.withColumnsRenamed({"n_nationkey": "sn_key", "n_name": "sn"})
     cn = nation.withColumnsRenamed({"n_nationkey": "cn_key", "n_name": "cn"})
     line = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(sn, F.col("s_nationkey") == F.col("sn_key"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -107,30 +122,39 @@ def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted_rows(staged(spark, sf_dir))
 
 
-def flight_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return day_totals(accepted(spark, sf_dir), ENTITIES)
+def saved_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accepted table, its base columns written out, for queries that read it repeatedly."""
+    return derive_columns(save_shared(unique_rows(staged(spark, sf_dir)), "unique"))
+
+
+def histories_of(rows: DataFrame, entities: Sequence[str] = ENTITIES) -> DataFrame:
+    totals = save_shared(day_totals(rows, entities), "day-totals")
+    return add_split(history_table(totals, entities), BOUNDS)
 
 
-def flight_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_split(history_table(flight_totals(spark, sf_dir)), BOUNDS)
+def flight_histories(
+    spark: SparkSession, sf_dir: str, entities: Sequence[str] = ENTITIES
+) -> DataFrame:
+    return histories_of(accepted(spark, sf_dir), entities)
 
 
-def scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_schedule_features(accepted(spark, sf_dir))
+def with_history(rows: DataFrame, entities: Sequence[str] = ENTITIES) -> DataFrame:
+    joined = attach_history(rows, histories_of(rows, entities), entities)
+    return add_split(joined, BOUNDS)
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_split(featured_rows(accepted(spark, sf_dir)), BOUNDS)
+    return with_history(add_schedule_features(saved_accepted(spark, sf_dir)))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted rows with a model-free score: the smoothed route rate."""
-    rows = add_split(add_history(accepted(spark, sf_dir)), BOUNDS)
+    rows = with_history(saved_accepted(spark, sf_dir), ["route"])
     return rows.withColumn("probability_score", F.col("hist_route_delay_rate"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events").drop("props")).select(
         "event_id",
         "user_id",
         "event_type",

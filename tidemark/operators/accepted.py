@@ -36,25 +36,29 @@ def surrogate_key(identity: Sequence[str]) -> F.Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def accepted_rows(staged: DataFrame) -> DataFrame:
-    """Accepted rows with copies removed and the label and calendar columns derived.
+def unique_rows(staged: DataFrame) -> DataFrame:
+    """Accepted rows without copies: the base columns alone, from which all others derive.
 
-    Only the ten base columns cross the shuffle. All of them take part in the de-duplication, so
-    every reader of this table asks for the same shuffle and Spark can run it once.
+    This is the table worth writing out when it is read more than once.
     """
     base = keep_outcome(staged, spec.ACCEPTED, [*spec.IDENTITY, *spec.COPY_ORDER])
-    return (
-        keep_first(base, spec.IDENTITY, spec.COPY_ORDER)
-        .withColumns(
-            {
-                "flight_key": surrogate_key(spec.IDENTITY),
-                "route": F.concat_ws("_", "origin", "dest"),
-                "crs_dep_minutes": minutes_of_day(F.col("crs_dep_time")),
-                "crs_arr_minutes": minutes_of_day(F.col("crs_arr_time")),
-                "month": F.month("flight_date"),
-                "day_of_week": iso_weekday(F.col("flight_date")),
-                "label": (F.col("arr_delay") >= spec.LATE_MINUTES).cast("double"),
-            }
-        )
-        .select(*spec.ACCEPTED_COLUMNS)
-    )
+    return keep_first(base, spec.IDENTITY, spec.COPY_ORDER)
+
+
+def derive_columns(unique: DataFrame) -> DataFrame:
+    """The accepted table: key, label, route, clock minutes and calendar fields added."""
+    return unique.withColumns(
+        {
+            "flight_key": surrogate_key(spec.IDENTITY),
+            "route": F.concat_ws("_", "origin", "dest"),
+            "crs_dep_minutes": minutes_of_day(F.col("crs_dep_time")),
+            "crs_arr_minutes": minutes_of_day(F.col("crs_arr_time")),
+            "month": F.month("flight_date"),
+            "day_of_week": iso_weekday(F.col("flight_date")),
+            "label": (F.col("arr_delay") >= spec.LATE_MINUTES).cast("double"),
+        }
+    ).select(*spec.ACCEPTED_COLUMNS)
+
+
+def accepted_rows(staged: DataFrame) -> DataFrame:
+    return derive_columns(unique_rows(staged))

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import spec
 from tidemark.functions.clock import cycle
-from tidemark.operators.history import add_history
 
 
 def add_cycle(df: DataFrame, column: str, stem: str, period: float) -> DataFrame:
@@ -27,11 +24,3 @@ def add_schedule_features(df: DataFrame) -> DataFrame:
     )
     df = add_cycle(df, "crs_dep_minutes", "sched_dep_time", spec.MINUTES_PER_DAY)
     return add_cycle(df, "crs_arr_minutes", "sched_arr_time", spec.MINUTES_PER_DAY)
-
-
-def featured_rows(
-    accepted: DataFrame,
-    smoothing: spec.Smoothing = spec.Smoothing(),
-    entities: Sequence[str] = spec.ENTITIES,
-) -> DataFrame:
-    return add_schedule_features(add_history(accepted, entities, smoothing))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.running import totals_before_day
@@ -50,6 +50,27 @@ def prior_totals(
     )
 
 
+def prior_totals_by_range(
+    totals: DataFrame, keys: Sequence[str], name: str, date: str = "flight_date"
+) -> DataFrame:
+    """The same totals by a frame over day numbers, 0 on a key's first day.
+
+    This frame says "earlier date" by value, so it also holds for several rows per key and day.
+    """
+    earlier = (
+        Window.partitionBy(*keys)
+        .orderBy(F.unix_date(date))
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    zero = F.lit(0).cast("long")
+    return totals.select(
+        *keys,
+        date,
+        F.coalesce(F.sum("positives").over(earlier), zero).alias(f"hist_{name}_positives"),
+        F.coalesce(F.sum("rows").over(earlier), zero).alias(f"hist_{name}_count"),
+    )
+
+
 def global_prior(
     totals: DataFrame, default_rate: float, date: str = "flight_date", rate: str = "delay_rate"
 ) -> DataFrame:
@@ -65,6 +86,13 @@ def global_prior(
     )
 
 
+def smoothed_rate(name: str, weight: float, prior_rate: str) -> Column:
+    """(earlier positives + weight x prior rate) / (earlier rows + weight), over prior totals."""
+    zero, w = F.lit(0).cast("long"), F.lit(float(weight))
+    positives = F.coalesce(f"hist_{name}_positives", zero)
+    return (positives + w * F.col(prior_rate)) / (F.coalesce(f"hist_{name}_count", zero) + w)
+
+
 def history_columns(
     entities: Sequence[str] = ENTITIES, rate: str = "delay_rate"
 ) -> list[str]:
@@ -84,39 +112,52 @@ def history_table(
     An entity without earlier rows, or a null entity, has count 0 and the global rate.
     """
     table = totals.join(global_prior(totals, smoothing.default_rate, date, rate), date, "left")
-    weight = F.lit(float(smoothing.prior_weight))
     for name in entities:
         history = prior_totals(coarser_totals(totals, [name], date), [name], name, date)
-        table = table.join(history, [name, date], "left")
-        count = F.coalesce(f"hist_{name}_count", F.lit(0).cast("long"))
-        positives = F.coalesce(f"hist_{name}_positives", F.lit(0).cast("long"))
-        table = table.withColumns(
+        table = table.join(history, [name, date], "left").withColumns(
             {
-                f"hist_{name}_{rate}": (positives + weight * F.col(f"hist_global_{rate}"))
-                / (count + weight),
-                f"hist_{name}_count": count,
+                f"hist_{name}_{rate}": smoothed_rate(
+                    name, smoothing.prior_weight, f"hist_global_{rate}"
+                ),
+                f"hist_{name}_count": F.coalesce(f"hist_{name}_count", F.lit(0).cast("long")),
             }
         )
     return table.select(*entities, date, "positives", "rows", *history_columns(entities, rate))
 
 
-def add_history(
+def attach_history(
     df: DataFrame,
+    histories: DataFrame,
     entities: Sequence[str] = ENTITIES,
-    smoothing: Smoothing = Smoothing(),
     date: str = "flight_date",
-    label: str = "label",
     rate: str = "delay_rate",
 ) -> DataFrame:
     """Event rows with the history columns of their entities and day.
 
-    The histories of all entities are put together on day totals first, so the event rows take part
-    in one join whatever the number of entities. The join is null-safe: a row with one null entity
-    still gets the histories of the others.
+    The event rows take part in this one join only, whatever the number of entities. It is
+    null-safe: a row with one null entity still gets the histories of the others.
     """
-    totals = day_totals(df, entities, date, label)
-    histories = history_table(totals, entities, smoothing, date, rate).drop("positives", "rows")
     keys = [*entities, date]
-    lookup = histories.withColumnsRenamed({key: f"_{key}" for key in keys})
+    lookup = histories.select(
+        *[F.col(key).alias(f"_{key}") for key in keys], *history_columns(entities, rate)
+    )
     matches = [df[key].eqNullSafe(lookup[f"_{key}"]) for key in keys]
     return df.join(lookup, matches, "left").drop(*[f"_{key}" for key in keys])
+
+
+def add_history(
+    df: DataFrame,
+    entities: Sequence[str] = ENTITIES,
+    smoothing: Smoothing = Smoothing(),
+    date: str = "flight_date",
+    label: str = "label",
+    rate: str = "delay_rate",
+) -> DataFrame:
+    """Day totals, histories and join in one lazy plan.
+
+    On a large table write the day totals out first (``save_shared``) and pass them to
+    ``history_table``: each entity reads them once more.
+    """
+    totals = day_totals(df, entities, date, label)
+    histories = history_table(totals, entities, smoothing, date, rate)
+    return attach_history(df, histories, entities, date, rate)
