@@ -104,11 +104,11 @@ def roc_points(metrics: DataFrame) -> DataFrame:
         "threshold",
         fpr.alias("false_positive_rate"),
         F.col("recall").alias("true_positive_rate"),
-    ).orderBy("false_positive_rate", "true_positive_rate")
+    ).orderBy("false_positive_rate", "true_positive_rate", "threshold")
 
 
 def precision_recall_points(metrics: DataFrame) -> DataFrame:
-    return metrics.select("threshold", "recall", "precision").orderBy("recall")
+    return metrics.select("threshold", "recall", "precision").orderBy("recall", "threshold")
 
 
 def confusion_matrix(metrics: DataFrame, classes: Sequence[str]) -> DataFrame:

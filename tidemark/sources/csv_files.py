@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.headers import bind_headers, plain, resolve_fields
+from tidemark.operators.headers import plain, resolve_fields
 from tidemark.spec import FIELD_HEADERS
 
 RAW_COLUMNS = tuple(aliases[0] for aliases in FIELD_HEADERS.values())
@@ -41,15 +41,21 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def narrow(raw: DataFrame) -> DataFrame:
+    """A source of any width cut down to the twelve raw columns, in fixed order and usual names."""
+    usual = dict(zip(FIELD_HEADERS, RAW_COLUMNS))
+    return resolve_fields(raw).withColumnsRenamed(usual)
+
+
 def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The twelve logical fields from all paths; each path or glob may have a header of its own."""
+    """The twelve raw columns from all paths; each path or glob may have a header of its own."""
     if not paths:
         raise ValueError("no input path given")
-    return _union([resolve_fields(_read_one_layout(spark, path)) for path in paths])
+    return _union([narrow(_read_one_layout(spark, path)) for path in paths])
 
 
 def read_mixed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The twelve logical fields from files whose headers may differ within one path.
+    """The twelve raw columns from files whose headers may differ within one path.
 
     The first line of every file is read ahead; files are then read layout by layout. What comes
     to the driver is the file listing, which Spark holds there for any scan.
@@ -61,13 +67,7 @@ def read_mixed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         raise ValueError(f"no CSV file with a header under {list(paths)}")
     if len(found) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different headers under {list(paths)}")
-    return _union([resolve_fields(_read_one_layout(spark, row["paths"])) for row in found])
-
-
-def narrow(raw: DataFrame) -> DataFrame:
-    """A wide source cut down to the twelve raw columns, in fixed order, under their usual names."""
-    bound = bind_headers(raw.columns, {name: (name,) for name in RAW_COLUMNS})
-    return raw.select([raw[f"`{bound[name]}`"].alias(name) for name in RAW_COLUMNS])
+    return _union([narrow(_read_one_layout(spark, row["paths"])) for row in found])
 
 
 def write_raw_csv(raw: DataFrame, folder: str) -> None:
