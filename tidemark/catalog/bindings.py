@@ -29,22 +29,29 @@ EVENT_VALUE = 15.0
 EVENT_ENTITIES = ("user_id", "event_type")
 DAY_SECONDS = 86400.0
 
-LINE_COLUMNS = (
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
-)
+# Columns read from each table. With the schema given Spark opens no file before the scan.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """A table that Spark would scan in fewer tasks than it has cores, dealt out to all of them.
 
     Such a table is no larger than one scan split per core; a larger one is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +61,11 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     # Base tables are joined one by one: their file sizes are known, so Spark broadcasts a
     # dimension only while it is below the session's threshold.
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = table(spark, sf_dir, "nation")
     sn = nation.withColumnsRenamed({"n_nationkey": "sn_key", "n_name": "sn"})
     cn = nation.withColumnsRenamed({"n_nationkey": "cn_key", "n_name": "cn"})
     line = (
-        spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS))
+        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(sn, F.col("s_nationkey") == F.col("sn_key"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -154,7 +161,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events").drop("props")).select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         "event_id",
         "user_id",
         "event_type",

@@ -6,7 +6,7 @@ one row per entity and day, so a busy entity costs no more than a quiet one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,14 +106,20 @@ def history_table(
     smoothing: Smoothing = Smoothing(),
     date: str = "flight_date",
     rate: str = "delay_rate",
+    save: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """``totals`` (day totals by all the entities at once) with every history attached.
 
     An entity without earlier rows, or a null entity, has count 0 and the global rate.
+    ``save`` (such as ``save_shared``) writes each entity's history out first; Spark then knows its
+    size when it plans the join, and shuffles ``totals`` only for those too large to broadcast.
     """
-    table = totals.join(global_prior(totals, smoothing.default_rate, date, rate), date, "left")
+    save = save or (lambda table, name: table)
+    prior = save(global_prior(totals, smoothing.default_rate, date, rate), "global-prior")
+    table = totals.join(prior, date, "left")
     for name in entities:
-        history = prior_totals(coarser_totals(totals, [name], date), [name], name, date)
+        daily = coarser_totals(totals, [name], date)
+        history = save(prior_totals(daily, [name], name, date), f"history-{name}")
         table = table.join(history, [name, date], "left").withColumns(
             {
                 f"hist_{name}_{rate}": smoothed_rate(

@@ -35,7 +35,10 @@ def prepare(raw: DataFrame, config: spec.RunConfig) -> Prepared:
     accepted = derive_columns(save_shared(unique_rows(staged), "unique"))
     totals = save_shared(day_totals(accepted, spec.ENTITIES), "day-totals")
     histories = save_shared(
-        add_split(history_table(totals, spec.ENTITIES, config.smoothing), config.bounds),
+        add_split(
+            history_table(totals, spec.ENTITIES, config.smoothing, save=save_shared),
+            config.bounds,
+        ),
         "histories",
     )
     featured = add_schedule_features(attach_history(accepted, histories, spec.ENTITIES))

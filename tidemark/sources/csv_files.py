@@ -7,6 +7,7 @@ import hashlib
 import io
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -77,13 +78,13 @@ def write_raw_csv(raw: DataFrame, folder: str) -> None:
 # --- describing files ---
 
 
-def _open(path: str):
+def _locate(path: str):
+    """The file system that holds a path, and the path inside it."""
     from pyarrow import fs
 
     if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_stream("/" + path[5:].lstrip("/"))
-    filesystem, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return filesystem.open_input_stream(inner)
+        return fs.LocalFileSystem(), "/" + unquote(path[5:]).lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def _header(start: bytes) -> list[str]:
@@ -93,37 +94,40 @@ def _header(start: bytes) -> list[str]:
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        headers = []
+        sizes, headers = [], []
         for path in batch["path"]:
-            with _open(path) as stream:
+            files, inner = _locate(path)
+            sizes.append(files.get_file_info(inner).size)
+            with files.open_input_stream(inner) as stream:
                 start = b""
                 while b"\n" not in start and (more := stream.read(65536)):
                     start += more
             headers.append(_header(start))
-        yield batch.assign(header=headers)
+        yield batch.assign(bytes=sizes, header=headers)
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for path in batch["path"]:
+            files, inner = _locate(path)
             digest = hashlib.sha256()
-            with _open(path) as stream:
+            with files.open_input_stream(inner) as stream:
                 while chunk := stream.read(_CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
         yield batch.assign(sha256=digests)
 
 
-def _listing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Path and size of every CSV file. The content column is not asked for, so not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(list(paths))
-    return files.select("path", F.col("length").alias("bytes"))
-
-
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``path, bytes, header`` per CSV file, reading no more than each file's first line."""
-    return _listing(spark, paths).mapInPandas(
+    """``path, bytes, header`` per CSV file, empty files included.
+
+    Spark lists the files on the driver as it does for any scan; each task then reads no more than
+    the first line of its files.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(list(paths))
+    listing = [(path,) for path in files.inputFiles()]
+    return spark.createDataFrame(listing, "path string").mapInPandas(
         _first_lines, "path string, bytes long, header array<string>"
     )
 
