@@ -215,3 +215,42 @@ def test_cycles_and_categories(spark):
     assert (row["month_cat"], row["day_of_week_cat"]) == ("1", "7")
     half = add_cycle(df, "month", "m", 2).first()
     assert half["m_cos"] == pytest.approx(-1.0)
+
+
+def test_a_hot_group_is_split_when_rows_meet_their_histories(spark):
+    """A third of all rows share one day and one set of entities."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = F.col("id") % 3 == 0
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("flight_key"),
+            F.date_add(F.lit(DAY), F.when(hot, 5).otherwise(F.col("id") % 50).cast("int")).alias(
+                "flight_date"
+            ),
+            *[
+                F.when(hot, "HOT").otherwise((F.col("id") % 40).cast("string")).alias(name)
+                for name in spec.ENTITIES
+            ],
+            (F.col("id") % 4 == 0).cast("double").alias("label"),
+        )
+        totals = save_shared(day_totals(rows, spec.ENTITIES), "totals")
+        histories = save_shared(history_table(totals), "histories")
+        joined = attach_history(rows, histories)
+        assert len(joined.select("flight_key", "hist_carrier_count").collect()) == 60000
+        collected = attach_history(rows, histories)
+        collected.collect()
+        text = collected._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in text
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

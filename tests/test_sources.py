@@ -37,7 +37,7 @@ def test_csv_is_read_as_text_with_aliases_and_extra_columns(spark, tmp_path):
 
 def test_a_file_with_other_columns_fails_instead_of_being_misread(spark, tmp_path):
     write(tmp_path / "in", "a.csv", HEADER, ROW)
-    write(tmp_path / "in", "b.csv", SWAPPED, ROW.replace("SEA,LAX", "LAX,SEA"))
+    write(tmp_path / "in", "b c.csv", SWAPPED, ROW.replace("SEA,LAX", "LAX,SEA"))
     with pytest.raises(Exception, match="(?i)header"):
         csv_files.read_csv(spark, [str(tmp_path / "in")]).collect()
     mixed = csv_files.read_mixed_csv(spark, [str(tmp_path / "in")])

@@ -7,7 +7,7 @@ import hashlib
 import io
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -83,8 +83,8 @@ def _locate(path: str):
     from pyarrow import fs
 
     if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + unquote(path[5:]).lstrip("/")
-    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/@"))
 
 
 def _header(start: bytes) -> list[str]:
@@ -126,7 +126,7 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     the first line of its files.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(list(paths))
-    listing = [(path,) for path in files.inputFiles()]
+    listing = [(unquote(path),) for path in files.inputFiles()]
     return spark.createDataFrame(listing, "path string").mapInPandas(
         _first_lines, "path string, bytes long, header array<string>"
     )
