@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from tidemark import spec
 from tidemark.functions.clock import is_hhmm, iso_weekday, minutes_of_day
 from tidemark.functions.parsing import first_date, real_number, whole_number
-from tidemark.operators.accepted import accepted_rows, keep_first
+from tidemark.operators.accepted import accepted_rows, keep_first, unique_rows
 from tidemark.operators.headers import bind_headers, resolve_fields
 from tidemark.operators.quality import quality_report, reason_counts
 from tidemark.operators.staging import stage
 from tidemark.sources.csv_files import RAW_COLUMNS
+from tidemark.sources.shared import save_shared
 
 BOUNDS = spec.SplitBounds()
 GOOD = ("2023-01-01", "AA", "1", "SEA", "LAX", "800", "1030", "150", "954", "14", "0", "0")
@@ -180,6 +181,17 @@ def test_copies_keep_the_least_row(spark):
     }
 
 
+def test_report_from_written_tables_is_the_same(spark):
+    rows = [record(Flight_Number_Reporting_Airline=str(i % 7), Diverted=str(int(i % 5 == 0)))
+            for i in range(30)]
+    staged = save_shared(stage(raw(spark, *rows), BOUNDS), "staged")
+    one_pass = quality_report(staged)
+    counted = quality_report(staged, save_shared(unique_rows(staged), "unique"))
+    assert sorted(map(tuple, one_pass.collect())) == sorted(map(tuple, counted.collect()))
+    total = {(r["stage"], r["reason"]): r["row_count"] for r in counted.collect()}
+    assert total["cleaning", "ACCEPTED"] + total["cleaning", "DIVERTED"] == 30
+
+
 def test_report_without_accepted_rows(spark):
     staged = stage(raw(spark, record(Cancelled="1"), record(Cancelled="1")), BOUNDS)
     report = {(r["stage"], r["reason"]): r["row_count"] for r in quality_report(staged).collect()}

@@ -24,15 +24,16 @@ class Prepared:
 
 
 def prepare(raw: DataFrame, config: spec.RunConfig) -> Prepared:
-    """The raw records are read twice: once to count outcomes, once to keep the accepted rows.
+    """The raw records are read and parsed once; every later step reads written Parquet columns.
 
-    Accepted rows, day totals, histories and features are written to the shared folder. The accepted
-    table is the only one of the input's size that is shuffled, once to remove copies and once to
-    meet its histories.
+    Staged rows, unique rows, day totals, histories and features go to the shared folder. Event rows
+    are shuffled twice: once to remove copies and once to meet their histories.
     """
-    staged = stage(raw, config.bounds)
-    quality = save_shared(quality_report(staged), "quality")
-    accepted = derive_columns(save_shared(unique_rows(staged), "unique"))
+    columns = [*spec.IDENTITY, *spec.COPY_ORDER, "rejection_reason"]
+    staged = save_shared(stage(raw, config.bounds).select(*columns), "staged")
+    unique = save_shared(unique_rows(staged), "unique")
+    quality = save_shared(quality_report(staged, unique), "quality")
+    accepted = derive_columns(unique)
     totals = save_shared(day_totals(accepted, spec.ENTITIES), "day-totals")
     histories = save_shared(
         add_split(
