@@ -42,6 +42,7 @@ def _numbers(text: str) -> tuple[float, ...]:
 
 
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
+    # Option names are fixed values.
     bounds, smoothing, grid = spec.SplitBounds(), spec.Smoothing(), spec.ModelGrid()
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     add = parser.add_argument
