@@ -126,3 +126,27 @@ def test_shared_tables(spark):
     with kept(df):
         assert df.is_cached
     assert not df.is_cached
+
+
+class _Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master, configured=None):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_folder(_Session("yarn", "hdfs://nn/shared/")) == "hdfs://nn/shared"
+    local = _Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
