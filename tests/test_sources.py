@@ -131,22 +131,16 @@ def test_shared_tables(spark):
 class _Session:
     """Just enough of a session to ask for its shared folder."""
 
-    def __init__(self, master, configured=None):
-        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+    def __init__(self, **conf):
+        self.conf = conf
         self.sparkContext = self
-        self.master = master
-        self.folder = None
 
     def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+        return None
 
 
 def test_shared_folder_comes_from_the_session():
-    assert shared_folder(_Session("yarn", "hdfs://nn/shared/")) == "hdfs://nn/shared"
-    local = _Session("local[2]")
-    assert shared_folder(local) == shared_folder(local) == local.folder
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(_Session("yarn"))
+    named = _Session(**{"spark.checkpoint.dir": "hdfs://nn/shared/"})
+    assert shared_folder(named) == "hdfs://nn/shared"
+    unnamed = _Session(**{"spark.sql.warehouse.dir": "hdfs://nn/warehouse"})
+    assert shared_folder(unnamed) == "hdfs://nn/warehouse/shared"

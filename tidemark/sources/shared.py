@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,22 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session (as in tests) gets a folder of its own; a cluster has to
-    name one, since a machine's own folder is lost with the machine.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+    """The folder named in ``spark.checkpoint.dir``, else one below ``spark.sql.warehouse.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared").rstrip("/")
 
 
-def save_shared(df: DataFrame, name: str) -> DataFrame:
+def save_shared(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write the rows as Parquet and return the written table.
 
     Readers of the returned table prune columns and skip row groups, survive the loss of executors
@@ -36,7 +25,7 @@ def save_shared(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
