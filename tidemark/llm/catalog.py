@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import token_store
+from tidemark.llm import packing, token_store
 from tidemark.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +27,14 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
+        "op9_best_fit_packing": op9_best_fit_packing,
     }
 
 
