@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, sharding, token_store
+from tidemark.llm import packing, secrets, sharding, token_store
 from tidemark.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,11 +35,16 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
         "op7_differencing_shards": op7_differencing_shards,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
