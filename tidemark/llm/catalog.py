@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, secrets, sharding, token_store
+from tidemark.llm import packing, quality, secrets, sharding, token_store
 from tidemark.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op5_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
@@ -42,6 +46,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
+        "op5_risk_controlled_rules": op5_risk_controlled_rules,
         "op7_differencing_shards": op7_differencing_shards,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scan": op10_secret_scan,
