@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality, secrets, sharding, token_store
+from tidemark.llm import packing, quality, secrets, sharding, token_store, toxicity
 from tidemark.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op5_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op7_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
@@ -47,6 +52,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
         "op5_risk_controlled_rules": op5_risk_controlled_rules,
+        "op6_noisy_channel_toxicity": op6_noisy_channel_toxicity,
         "op7_differencing_shards": op7_differencing_shards,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scan": op10_secret_scan,
