@@ -7,9 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality, secrets, sharding, token_store, toxicity
+from tidemark.llm import packing, quality, secrets, sharding, token_store, toxicity, url_filters
 from tidemark.sources.shared import shared_folder
 
+# The listed rules of the URL query.
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -40,6 +48,12 @@ def op7_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
 
+def op8_path_template_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    labels = url_filters.labels_by_path(pages, table(spark, sf_dir, "labels"))
+    return url_filters.judge(pages, labels, URL_RULES)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -54,6 +68,7 @@ def queries() -> dict[str, Query]:
         "op5_risk_controlled_rules": op5_risk_controlled_rules,
         "op6_noisy_channel_toxicity": op6_noisy_channel_toxicity,
         "op7_differencing_shards": op7_differencing_shards,
+        "op8_path_template_filters": op8_path_template_filters,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scan": op10_secret_scan,
     }
