@@ -7,7 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality, secrets, sharding, token_store, toxicity, url_filters
+from tidemark.llm import (
+    decontamination,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    token_store,
+    toxicity,
+    url_filters,
+)
 from tidemark.sources.shared import shared_folder
 
 # The listed rules of the URL query.
@@ -35,6 +44,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op3_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return decontamination.decontaminate(documents, table(spark, sf_dir, "benchmark"))
+
+
 def op5_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,6 +79,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
+        "op3_prefix_filtered_decontamination": op3_prefix_filtered_decontamination,
         "op5_risk_controlled_rules": op5_risk_controlled_rules,
         "op6_noisy_channel_toxicity": op6_noisy_channel_toxicity,
         "op7_differencing_shards": op7_differencing_shards,
