@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     decontamination,
+    near_duplicates,
     packing,
     quality,
     secrets,
@@ -44,6 +45,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op2_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return decontamination.decontaminate(documents, table(spark, sf_dir, "benchmark"))
@@ -79,6 +84,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
+        "op2_minhash_near_duplicates": op2_minhash_near_duplicates,
         "op3_prefix_filtered_decontamination": op3_prefix_filtered_decontamination,
         "op5_risk_controlled_rules": op5_risk_controlled_rules,
         "op6_noisy_channel_toxicity": op6_noisy_channel_toxicity,
