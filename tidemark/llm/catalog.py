@@ -12,6 +12,7 @@ from tidemark.llm import (
     near_duplicates,
     packing,
     quality,
+    repeats,
     secrets,
     sharding,
     token_store,
@@ -54,6 +55,10 @@ def op3_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> Dat
     return decontamination.decontaminate(documents, table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_merge_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -86,6 +91,7 @@ def queries() -> dict[str, Query]:
         "op1_token_store": op1_token_store,
         "op2_minhash_near_duplicates": op2_minhash_near_duplicates,
         "op3_prefix_filtered_decontamination": op3_prefix_filtered_decontamination,
+        "op4_suffix_merge_repeats": op4_suffix_merge_repeats,
         "op5_risk_controlled_rules": op5_risk_controlled_rules,
         "op6_noisy_channel_toxicity": op6_noisy_channel_toxicity,
         "op7_differencing_shards": op7_differencing_shards,
