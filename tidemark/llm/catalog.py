@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm import (
     decontamination,
     near_duplicates,
@@ -98,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op8_path_template_filters": op8_path_template_filters,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scan": op10_secret_scan,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -128,16 +128,22 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, zero, add, lambda state: state["n"])
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """The rows with ``words``, ``n_words`` and ``key``, which rows alike share."""
-    key = F.struct(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.lit("one"), "text").alias("one"),
-        F.xxhash64("text", F.lit("two")).alias("two"),
+def row_key() -> Column:
+    """What a row of documents is known by; rows alike share it."""
+    return F.to_json(
+        F.struct(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.xxhash64(F.lit("one"), "text").alias("one"),
+            F.xxhash64("text", F.lit("two")).alias("two"),
+        )
     )
+
+
+def keyed(documents: DataFrame) -> DataFrame:
+    """The rows with ``words``, ``n_words`` and ``key``."""
     words = words_of(F.col("text"))
     return documents.select(
-        F.to_json(key).alias("key"), F.col("doc_id").cast("long"), words.alias("words"),
+        row_key().alias("key"), F.col("doc_id").cast("long"), words.alias("words"),
         F.size(words).alias("n_words"),
     )
 
