@@ -116,9 +116,10 @@ def test_dates(spark):
 
 
 def test_numbers(spark):
-    whole = one_column(spark, [" 800 ", "800.0", "800.", "-3", "8e2", "800d", "", None, "x"])
+    whole = one_column(spark, [" 800 ", "800.0", "800.", "-3", "8e2", "800d", "", None, "x",
+                             "\t800", "800\t ", ".5", "-.5", ".", "+"])
     assert values(whole.select(whole_number("text"))) == [
-        800, 800, 800, -3, None, None, None, None, None
+        800, 800, 800, -3, None, None, None, None, None, 800, 800, 0, 0, None, None
     ]
     real = one_column(spark, [" 1.5 ", "", None, "NaN", "x", "-2"])
     assert values(real.select(real_number("text"))) == [1.5, None, None, None, None, -2.0]

@@ -45,15 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A table that Spark would scan in fewer tasks than it has cores, dealt out to all of them.
-
-    Such a table is no larger than one scan split per core; a larger one is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve text fields per line item, with defects planted by divisibility of the part key.
 
@@ -65,7 +56,7 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     sn = nation.withColumnsRenamed({"n_nationkey": "sn_key", "n_name": "sn"})
     cn = nation.withColumnsRenamed({"n_nationkey": "cn_key", "n_name": "cn"})
     line = (
-        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(sn, F.col("s_nationkey") == F.col("sn_key"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -108,6 +99,8 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(every(83), "2560")
         .when(every(79), "2400")
         .when(every(73), "900.0")
+        .when(every(43), F.concat(F.lit("\t"), text((pk % 24) * 100), F.lit("\t ")))
+        .when(every(41), ".5")
         .otherwise(text((pk % 24) * 100 + q % 60))
         .alias("CRSDepTime"),
         text(((pk + 3) % 24) * 100 + ln).alias("CRSArrTime"),
@@ -161,7 +154,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         "event_type",

@@ -11,7 +11,7 @@ from tidemark.catalog.settings import (
     TEST_THRESHOLD,
     TOP_ERRORS,
 )
-from tidemark.spec import CLASS_NAMES, ENTITIES, ModelGrid
+from tidemark.spec import CLASS_NAMES, ENTITIES, FIELD_HEADERS, ModelGrid
 
 THRESHOLDS = ModelGrid().thresholds
 
@@ -38,6 +38,8 @@ raw AS (
     lower(sn) AS origin,
     cn AS dest,
     CASE WHEN pk % 83 = 0 THEN '2560' WHEN pk % 79 = 0 THEN '2400' WHEN pk % 73 = 0 THEN '900.0'
+         WHEN pk % 43 = 0 THEN chr(9) || CAST((pk % 24) * 100 AS VARCHAR) || chr(9) || ' '
+         WHEN pk % 41 = 0 THEN '.5'
          ELSE CAST((pk % 24) * 100 + q % 60 AS VARCHAR) END AS crs_dep_time_raw,
     CAST(((pk + 3) % 24) * 100 + ln AS VARCHAR) AS crs_arr_time_raw,
     CASE WHEN pk % 71 = 0 THEN '0' ELSE CAST(60 + 5 * q AS VARCHAR) END AS crs_elapsed_time_raw,
@@ -58,8 +60,8 @@ typed AS (
                   try_strptime(flight_date_raw, '%Y%m%d')) AS DATE) AS flight_date,
     upper(trim(carrier)) AS carrier, trim(flight_number) AS flight_number,
     upper(trim(origin)) AS origin, upper(trim(dest)) AS dest,
-    TRY_CAST(TRY_CAST(trim(crs_dep_time_raw) AS DOUBLE) AS INTEGER) AS crs_dep_time,
-    TRY_CAST(TRY_CAST(trim(crs_arr_time_raw) AS DOUBLE) AS INTEGER) AS crs_arr_time,
+    CAST(trunc(TRY_CAST(trim(crs_dep_time_raw, ' ' || chr(9)) AS DOUBLE)) AS INTEGER) AS crs_dep_time,
+    CAST(trunc(TRY_CAST(trim(crs_arr_time_raw, ' ' || chr(9)) AS DOUBLE)) AS INTEGER) AS crs_arr_time,
     TRY_CAST(trim(crs_elapsed_time_raw) AS DOUBLE) AS crs_elapsed_time,
     TRY_CAST(trim(distance_raw) AS DOUBLE) AS distance,
     TRY_CAST(trim(arr_delay_raw) AS DOUBLE) AS arr_delay,
@@ -313,8 +315,16 @@ def oracle_sql() -> dict[str, str]:
         STAGED,
         "SELECT rejection_reason, count(*) AS row_count FROM staged GROUP BY rejection_reason",
     )
-    for name in ("csv_scan", "narrow_source"):
-        sql[name] = sql["reject_reasons"]
+    sql["narrow_source"] = sql["resolve_columns"]
+    # A CSV file does not tell an empty text from a missing one.
+    sql["csv_scan"] = _select(
+        RAW, "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in FIELD_HEADERS) + " FROM raw"
+    )
+    sql["header_check"] = """
+SELECT * FROM (VALUES
+  ('new', 12, 0, ''), ('old', 12, 0, ''), ('short', 11, 1, 'distance')) AS t(folder, column_count, n_missing, first_missing)"""
+    sql["file_manifest"] = """
+SELECT * FROM (VALUES ('new', 12, TRUE), ('old', 12, TRUE)) AS t(folder, column_count, filled)"""
     sql["quality_report"] = _select(
         ACCEPTED,
         """

@@ -60,7 +60,13 @@ from tidemark.operators.sweep import (
     threshold_metrics,
 )
 from tidemark.plans.training import fit_run
-from tidemark.sources.csv_files import file_manifest, narrow, read_csv, write_raw_csv
+from tidemark.sources.csv_files import (
+    file_manifest,
+    header_check,
+    narrow,
+    read_csv,
+    write_raw_csv,
+)
 from tidemark.sources.months import month_coverage
 from tidemark.sources.shared import save_shared, shared_folder
 from tidemark.sources.sinks import write_predictions
@@ -108,8 +114,8 @@ def surrogate_key(spark, sf_dir):
 # --- files ---
 
 
-def csv_scan(spark, sf_dir):
-    """Two folders of CSV files under different headers and column orders, read as one table."""
+def _csv_folder(spark, sf_dir) -> str:
+    """Two folders of CSV files under different headers and column orders."""
     folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
     raw = bind.flights_raw(spark, sf_dir)
     odd = F.col("Flight_Number_Reporting_Airline") % 2 == 1
@@ -118,7 +124,12 @@ def csv_scan(spark, sf_dir):
                  for header in aliases[:1]}
     old = raw.filter(~odd).withColumnsRenamed(old_names)
     write_raw_csv(old.select(*reversed(old.columns)), f"{folder}/old")
-    return reason_counts(stage(read_csv(spark, [f"{folder}/new", f"{folder}/old"]), bind.BOUNDS))
+    return folder
+
+
+def csv_scan(spark, sf_dir):
+    """Files of different layouts below one path, read as one table."""
+    return resolve_fields(read_csv(spark, [f"{_csv_folder(spark, sf_dir)}/*"]))
 
 
 def narrow_source(spark, sf_dir):
@@ -126,13 +137,28 @@ def narrow_source(spark, sf_dir):
     wide = bind.flights_raw(spark, sf_dir).withColumns(
         {"Tail_Number": F.col("Origin"), "Taxi Out (min)": F.lit("12")}
     )
-    return reason_counts(stage(save_shared(narrow(wide), "narrow"), bind.BOUNDS))
+    return resolve_fields(save_shared(narrow(wide), "narrow"))
+
+
+def _folder_name() -> F.Column:
+    return F.regexp_extract("path", "/([a-z]+)/[^/]*$", 1).alias("folder")
+
+
+def checked_headers(spark, sf_dir):
+    """Headers of good files and of files without a column."""
+    folder = _csv_folder(spark, sf_dir)
+    raw = bind.flights_raw(spark, sf_dir)
+    write_raw_csv(raw.drop("Distance"), f"{folder}/short")
+    found = header_check(spark, [f"{folder}/*"])
+    return found.select(
+        _folder_name(), "column_count", F.size("missing").alias("n_missing"),
+        F.coalesce(F.get("missing", F.lit(0)), F.lit("")).alias("first_missing"),
+    ).distinct()
 
 
 def manifest(spark, sf_dir):
-    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
-    write_raw_csv(bind.flights_raw(spark, sf_dir), folder)
-    return file_manifest(spark, [folder]).drop("path")
+    found = file_manifest(spark, [f"{_csv_folder(spark, sf_dir)}/*"])
+    return found.select(_folder_name(), "column_count", (F.col("bytes") > 0).alias("filled")).distinct()
 
 
 def prediction_sink(spark, sf_dir):
@@ -498,6 +524,7 @@ def queries() -> dict[str, Query]:
         "csv_scan": csv_scan,
         "narrow_source": narrow_source,
         "file_manifest": manifest,
+        "header_check": checked_headers,
         "prediction_sink": prediction_sink,
         "month_calendar": months,
         "daily_totals": daily_totals,

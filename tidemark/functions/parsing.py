@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WHOLE_NUMBER = r"^[+-]?\d+(\.\d*)?$"
+_WHOLE_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)$"
+
+# What a cast takes off at both ends: blanks and control characters.
+_CAST_BLANKS = "".join(map(chr, range(33)))
 
 
 def trimmed(name: str) -> Column:
@@ -20,9 +23,10 @@ def code_text(name: str) -> Column:
 
 
 def whole_number(name: str) -> Column:
-    """``'800'`` and ``'800.0'`` both give 800; exponents and other text give null."""
-    text = trimmed(name)
-    digits = F.substring_index(text, ".", 1)
+    """``'800'``, ``'800.0'`` and ``'\\t800'`` give 800, ``'.5'`` gives 0; exponents and other text
+    give null."""
+    text = F.btrim(F.col(name), F.lit(_CAST_BLANKS))
+    digits = F.regexp_replace(F.substring_index(text, ".", 1), r"^([+-]?)$", "$10")
     return F.when(text.rlike(_WHOLE_NUMBER), digits.try_cast("int"))
 
 

@@ -1,45 +1,26 @@
-"""Raw CSV files: reading them under differing headers, checking and describing them."""
+"""Raw CSV files: reading them under differing headers, checking and describing them.
+
+Files are opened by Spark's readers alone, so they may lie wherever Spark can read.
+"""
 
 from __future__ import annotations
 
-import csv
-import hashlib
-import io
-from collections.abc import Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Sequence
 from functools import reduce
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.headers import plain, resolve_fields
+from tidemark.operators.headers import bind_headers, plain, resolve_fields
 from tidemark.spec import FIELD_HEADERS
 
 RAW_COLUMNS = tuple(aliases[0] for aliases in FIELD_HEADERS.values())
 
-# More layouts than this in one input are taken for a mistake in the paths.
-MAX_LAYOUTS = 100
-
-_CHUNK = 8 * 1024 * 1024
-
-
-def _read_one_layout(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files that share one header, every column a string.
-
-    Spark takes the names from the first file and reads the rest by position. With
-    ``enforceSchema`` off each task compares the header of the file it opens with those names, so a
-    file with other columns fails the read instead of being misread.
-    """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    names = reader.csv(paths).columns
-    strings = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return reader.schema(strings).option("enforceSchema", False).csv(paths)
-
-
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+# A comma outside quotes.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def narrow(raw: DataFrame) -> DataFrame:
@@ -48,122 +29,126 @@ def narrow(raw: DataFrame) -> DataFrame:
     return resolve_fields(raw).withColumnsRenamed(usual)
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The twelve raw columns from all paths; each path or glob may have a header of its own."""
-    if not paths:
-        raise ValueError("no input path given")
-    return _union([narrow(_read_one_layout(spark, path)) for path in paths])
+def _read_layout(
+    spark: SparkSession, paths: list[str], places: Sequence[int], width: int
+) -> DataFrame:
+    """Files whose raw columns stand at the same places, read by position as strings."""
+    names = [f"c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    return rows.select(*[F.col(names[at]).alias(c) for at, c in zip(places, RAW_COLUMNS)])
 
 
-def read_mixed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The twelve raw columns from files whose headers may differ within one path.
+def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The twelve raw columns from all paths; any two files may have different headers.
 
-    The first line of every file is read ahead; files are then read layout by layout. What comes
-    to the driver is the file listing, which Spark holds there for any scan.
+    The first line of every file is looked up ahead. Files whose fields stand at the same places
+    are read together, whatever their headers call them, so there are as many scans as there are
+    really different layouts. What comes to the driver is the file listing, which Spark holds
+    there for any scan.
     """
+    if not paths:
+        raise ValueError("no input path given")
     listed = file_headers(spark, paths).filter(F.size("header") > 0)
-    layouts = listed.groupBy("header").agg(F.collect_list("path").alias("paths"))
-    found = layouts.limit(MAX_LAYOUTS + 1).collect()
-    if not found:
+    by_header = listed.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    if not by_header:
         raise ValueError(f"no CSV file with a header under {list(paths)}")
-    if len(found) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers under {list(paths)}")
-    return _union([narrow(_read_one_layout(spark, row["paths"])) for row in found])
+    layouts = defaultdict(list)
+    for row in by_header:
+        bound = bind_headers(row["header"])
+        places = tuple(row["header"].index(bound[field]) for field in FIELD_HEADERS)
+        layouts[(places, len(row["header"]))] += map(unquote, row["paths"])
+    frames = [_read_layout(spark, files, *layout) for layout, files in sorted(layouts.items())]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def write_raw_csv(raw: DataFrame, folder: str) -> None:
-    raw.write.option("header", True).csv(folder)
+    """As read: blanks at the ends of fields are kept."""
+    (
+        raw.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
 
 
 # --- describing files ---
 
 
-def _locate(path: str):
-    """The file system that holds a path, and the path inside it."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/@"))
-
-
-def _header(start: bytes) -> list[str]:
-    line = start.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-    return next(csv.reader(io.StringIO(line)), [])
-
-
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sizes, headers = [], []
-        for path in batch["path"]:
-            files, inner = _locate(path)
-            sizes.append(files.get_file_info(inner).size)
-            with files.open_input_stream(inner) as stream:
-                start = b""
-                while b"\n" not in start and (more := stream.read(65536)):
-                    start += more
-            headers.append(_header(start))
-        yield batch.assign(bytes=sizes, header=headers)
-
-
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            files, inner = _locate(path)
-            digest = hashlib.sha256()
-            with files.open_input_stream(inner) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
-
-
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``path, bytes, header`` per CSV file, empty files included.
 
-    Spark lists the files on the driver as it does for any scan; each task then reads no more than
-    the first line of its files.
+    Sizes and first lines come from a scan of the lines, of which every task keeps one per file.
+    Empty files have none; they show in the listing, which Spark holds on the driver for any scan.
+    A byte-order mark and quotes around names are taken off.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(list(paths))
-    listing = [(unquote(path),) for path in files.inputFiles()]
-    return spark.createDataFrame(listing, "path string").mapInPandas(
-        _first_lines, "path string, bytes long, header array<string>"
+    paths = list(paths)
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(paths)
+    # A local path is written with one slash by the one and with three by the other.
+    path = F.regexp_replace(F.col("path"), "^file:/+", "file:/").alias("path")
+    listing = spark.createDataFrame([(name,) for name in lines.inputFiles()], "path string")
+    listing = listing.select(path)
+    first = (
+        lines.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"),
+            ).alias("place"),
+            F.col("_metadata.file_size").alias("bytes"),
+            "value",
+        )
+        .withColumn("path", path)
+        .filter(F.col("place.block") == 0)
+        .groupBy("path")
+        .agg(F.min_by("value", "place").alias("line"), F.first("bytes").alias("bytes"))
+    )
+    line = F.regexp_replace(F.regexp_replace("line", "^﻿", ""), "\r$", "")
+    names = F.transform(F.split(line, _COMMA), lambda name: F.regexp_replace(name, '^"|"$', ""))
+    header = F.when(F.coalesce(line, F.lit("")) != "", names).otherwise(F.array())
+    return listing.join(first, "path", "left").select(
+        "path",
+        F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        header.cast("array<string>").alias("header"),
     )
 
 
 def header_check(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file its number of columns and the required headers it lacks; an empty file lacks all."""
-    required = F.array(*[F.lit(plain(name)) for name in RAW_COLUMNS])
+    """Per file its number of columns and the required fields it lacks; an empty file lacks all.
+
+    A field is there under any of its accepted headers.
+    """
     present = F.transform(
         "header", lambda name: F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
     )
+    absent = [
+        F.when(
+            ~F.arrays_overlap(present, F.array(*[F.lit(plain(a)) for a in aliases])),
+            F.lit(plain(aliases[0])),
+        )
+        for aliases in FIELD_HEADERS.values()
+    ]
     return file_headers(spark, paths).select(
         "path",
         "bytes",
         F.size("header").alias("column_count"),
-        F.sort_array(F.array_except(required, present)).alias("missing"),
+        F.sort_array(F.array_compact(F.array(*absent))).alias("missing"),
     )
 
 
-def require_headers(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Fail unless every file holds all required headers; the message names up to ten files."""
-    bad = header_check(spark, paths).filter(F.size("missing") > 0).orderBy("path").limit(10)
-    faults = [
-        f"{row['path']}: " + (f"missing {', '.join(row['missing'])}" if row["column_count"]
-                              else "empty file")
-        for row in bad.collect()
-    ]
-    if faults:
-        raise ValueError("unusable CSV files:\n" + "\n".join(faults))
+def require_headers(spark: SparkSession, paths: Sequence[str], named: int = 10) -> None:
+    """Fail unless every file holds all required fields; tells how many do not and names some."""
+    bad = header_check(spark, paths).filter(F.size("missing") > 0)
+    total = bad.count()
+    if total:
+        faults = [
+            f"{row['path']}: " + (f"missing {', '.join(row['missing'])}" if row["column_count"]
+                                  else "empty file")
+            for row in bad.orderBy("path").limit(named).collect()
+        ]
+        raise ValueError(f"{total} unusable CSV files, among them:\n" + "\n".join(faults))
 
 
 def file_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``path, bytes, column_count, sha256`` per CSV file.
-
-    Files are hashed in chunks inside the tasks, so a file may be of any size.
-    """
-    columns = header_check(spark, paths).drop("missing")
-    return columns.mapInPandas(
-        _digests, "path string, bytes long, column_count int, sha256 string"
-    )
+    """``path, bytes, column_count`` per CSV file."""
+    return header_check(spark, paths).drop("missing")
