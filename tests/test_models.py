@@ -1,21 +1,26 @@
 import datetime as dt
 import random
+import re
 import statistics
 
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tidemark.operators.accepted import unique_rows
 from tidemark.operators.logistic import (
     coefficients,
-    feature_names,
     fit_logistic,
     fixed_score,
     grid_metrics,
     score_grid,
     score_rows,
+    slot_names,
 )
 from tidemark.operators.preprocess import fit_preprocessor
+from tidemark.operators.staging import stage
+from tidemark.sources.csv_files import RAW_COLUMNS
+from tidemark.sources.shared import save_shared
 from tidemark.sources.sinks import load_models, save_models
 from tidemark.spec import ModelGrid
 
@@ -77,22 +82,20 @@ def test_median_takes_an_element(spark):
 def test_names_and_coefficients(spark, fitted):
     train, preprocessor = fitted
     features = preprocessor.transform(train)
-    names = feature_names(features)
+    names = slot_names(preprocessor)
     assert names == ["colour__one_hot_r", "colour__one_hot_g", "colour__one_hot_b",
-                     "colour__one_hot___unknown", "numeric_features_scaled_0",
-                     "numeric_features_scaled_1"]
+                     "colour__one_hot___unknown", "numeric__size", "numeric__flat"]
     model = fit_logistic(features, 0.0)
-    table = coefficients(model, features, NUMBERS).collect()
+    table = coefficients(model, preprocessor).collect()
     sizes = [r["absolute_coefficient"] for r in table]
     assert sizes == sorted(sizes, reverse=True)
     by_name = {r["feature_name"]: r for r in table}
     assert by_name["colour__one_hot_r"]["direction"] == "higher_delay_risk"
     assert by_name["numeric__flat"]["direction"] == "neutral"
+    assert [r["coefficient"] for r in sorted(table, key=lambda r: r["feature_index"])] == list(
+        model.coefficients)
     assert [r["feature_index"] for r in table if r["coefficient"] == 0] == sorted(
         r["feature_index"] for r in table if r["coefficient"] == 0)
-    bare = features.select("label", F.col("features").alias("features", metadata={}))
-    assert {r["feature_name"] for r in coefficients(model, bare, NUMBERS).collect()} == {
-        f"feature_{i}" for i in range(6)}
 
 
 def test_scores_and_penalties(spark, fitted):
@@ -142,28 +145,57 @@ def test_models_are_saved_and_loaded(spark, fitted, tmp_path):
     assert failed["requested"] and not failed["saved"] and failed["error"]
 
 
-def test_whole_run_on_practice_rows(spark, tmp_path):
+def _raw_flights(spark):
+    """Ninety flights in each split, every third of them late, from seeded draws."""
+    rng = random.Random(11)
+    made = []
+    for first in (dt.date(2023, 5, 1), dt.date(2025, 3, 1), dt.date(2025, 9, 1)):
+        for i in range(90):
+            origin, dest = rng.sample(["BOS", "IAD", "MIA", "ORD"], 2)
+            made.append((
+                str(first + dt.timedelta(days=i % 30)), rng.choice(["XX", "YY"]),
+                f"{first.month}{i:03}", origin, dest, str(rng.randrange(24) * 100 + 5),
+                str(rng.randrange(24) * 100 + 40), str(rng.randrange(40, 300)),
+                str(rng.randrange(100, 2500)), str(20 if i % 3 == 0 else -rng.randrange(9)),
+                "0", "0",
+            ))
+    return spark.createDataFrame(made, ", ".join(f"{name} string" for name in RAW_COLUMNS))
+
+
+def test_whole_run(spark, tmp_path):
     from tidemark.plans.run import run
-    from tidemark.sources.practice import practice_rows
     from tidemark.spec import RunConfig
 
     config = RunConfig(grid=ModelGrid(reg_params=(0.0, 0.1), max_iterations=5),
                        export_predictions=True)
-    tables = run(practice_rows(spark), str(tmp_path), config)
+    tables = run(_raw_flights(spark), str(tmp_path), config)
     summary = {r["split"]: r for r in tables["split_summary"].collect()}
     assert {k: r["row_count"] for k, r in summary.items()} == {
-        "train": 240, "validation": 120, "test": 120}
-    assert all(r["delay_rate"] == pytest.approx(0.4) for r in summary.values())
-    assert summary["train"]["minimum_date"] == dt.date(2023, 1, 1)
+        "train": 90, "validation": 90, "test": 90}
+    assert all(r["delay_rate"] == pytest.approx(1 / 3) for r in summary.values())
+    assert summary["train"]["minimum_date"] == dt.date(2023, 5, 1)
     metrics = {r["model"]: r for r in tables["final_test_metrics"].collect()}
-    assert metrics["majority_class_baseline"]["accuracy"] == pytest.approx(0.6)
-    assert metrics["logistic_regression"]["row_count"] == 120
+    assert metrics["majority_class_baseline"]["accuracy"] == pytest.approx(2 / 3)
+    assert metrics["logistic_regression"]["row_count"] == 90
     assert tables["model_selection_validation"].count() == 22
-    assert tables["precision_recall_curve"].first()["prevalence"] == pytest.approx(0.4)
-    assert spark.read.parquet(str(tmp_path / "predictions")).count() == 120
+    assert tables["precision_recall_curve"].first()["prevalence"] == pytest.approx(1 / 3)
+    assert spark.read.parquet(str(tmp_path / "predictions")).count() == 90
     assert not (tmp_path / "models").exists()
     document = spark.read.json(str(tmp_path / "metrics")).first()
     assert document["selected_model"]["refit_on_train_plus_validation"] is True
     assert document["serialization"]["requested"] is False
     written = spark.read.option("header", True).csv(str(tmp_path / "tables" / "split_summary"))
     assert written.count() == 3
+
+
+def test_written_tables_are_pruned(spark, plan):
+    from tidemark.plans.cleaning import prepare
+    from tidemark.spec import RunConfig
+
+    prepared = prepare(_raw_flights(spark), RunConfig())
+    text = plan(prepared.featured.filter("split = 'train'").select("label"))
+    assert re.search(r"PartitionFilters: \[[^]]*split", text)
+    assert "add_split" not in text and "ReadSchema: struct<label:double>" in text
+    staged = save_shared(stage(_raw_flights(spark), RunConfig().bounds), "staged")
+    text = plan(unique_rows(staged, written=True))
+    assert "EqualTo(rejection_reason,ACCEPTED)" in text

@@ -36,15 +36,21 @@ def surrogate_key(identity: Sequence[str]) -> F.Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def unique_rows(staged: DataFrame) -> DataFrame:
+def unique_rows(staged: DataFrame, written: bool = False) -> DataFrame:
     """Accepted rows without copies: the base columns alone, from which all others derive.
 
-    This is the table worth writing out when it is read more than once.
+    This is the table worth writing out when it is read more than once. On a ``written`` staged
+    table the outcome is a plain column, whose filter belongs into the scan.
     """
-    base = keep_outcome(staged, spec.ACCEPTED, [*spec.IDENTITY, *spec.COPY_ORDER])
-    # Rows are sorted by these columns in this order; the one with most values comes first, so
-    # that few comparisons go beyond it.
-    identity = ("flight_number", "crs_dep_time", "flight_date", "origin", "dest", "carrier")
+    columns = [*spec.IDENTITY, *spec.COPY_ORDER]
+    if written:
+        base = staged.filter(F.col("rejection_reason") == spec.ACCEPTED).select(*columns)
+    else:
+        base = keep_outcome(staged, spec.ACCEPTED, columns)
+    # Rows are sorted by the identity; columns with many values first, so that few comparisons go
+    # beyond the first two.
+    many = ("flight_number", "crs_dep_time")
+    identity = sorted(spec.IDENTITY, key=lambda name: many.index(name) if name in many else 9)
     return keep_first(base, identity, spec.COPY_ORDER)
 
 

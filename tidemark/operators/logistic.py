@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.preprocess import SCALED
 from tidemark.operators.ranking import roc_auc
 from tidemark.operators.sweep import SCORE, threshold_metrics
-from tidemark.spec import NUMERIC_FEATURES, ModelGrid
+from tidemark.sources.shared import save_shared
+from tidemark.spec import ModelGrid
 
 
 def fit_logistic(
@@ -66,63 +66,67 @@ def score_grid(
     return scored.select("label", F.inline(per_model))
 
 
+def scored_grid_metrics(
+    scored: DataFrame, reg_params: Sequence[float], thresholds: Sequence[float]
+) -> DataFrame:
+    """One row per penalty and threshold from ``reg_param, label, probability_score``, a table that
+    is read twice; ``position`` numbers the rows, penalties outermost."""
+    metrics = threshold_metrics(scored, thresholds, by=["reg_param"])
+    areas = roc_auc(scored, by=["reg_param"])
+    order = F.array(*[F.lit(float(reg_param)) for reg_param in reg_params])
+    outer = F.array_position(order, F.col("reg_param")) - 1
+    position = (outer * len(thresholds) + F.col("position")).cast("int")
+    return metrics.join(areas, "reg_param").withColumn("position", position)
+
+
 def grid_metrics(
     models: Mapping[float, LogisticRegressionModel],
     validation: DataFrame,
     grid: ModelGrid,
 ) -> DataFrame:
-    """One row per penalty and threshold; ``position`` numbers them, penalties outermost."""
-    scored = score_grid(models, validation)
-    metrics = threshold_metrics(scored, grid.thresholds, by=["reg_param"])
-    areas = roc_auc(scored, by=["reg_param"])
-    outer = F.array_position(F.array(*[F.lit(float(r)) for r in models]), F.col("reg_param")) - 1
-    return metrics.join(areas, "reg_param").withColumns(
-        {
-            "position": outer * len(grid.thresholds) + F.col("position"),
-            "elastic_net_param": F.lit(0.0),
-            "max_iterations": F.lit(grid.max_iterations),
-        }
+    """The grid of all models over the validation rows, which are scored once and written."""
+    scored = save_shared(score_grid(models, validation), "scored-grid")
+    return scored_grid_metrics(scored, list(models), grid.thresholds).withColumns(
+        {"elastic_net_param": F.lit(0.0), "max_iterations": F.lit(grid.max_iterations)}
     )
 
 
-def feature_names(features: DataFrame, column: str = "features") -> list[str]:
-    """Slot names from the vector column's metadata; ``feature_<i>`` for a slot without one."""
-    attributes = features.schema[column].metadata.get("ml_attr", {})
-    slots = [slot for group in attributes.get("attrs", {}).values() for slot in group]
-    named = {slot["idx"]: slot["name"] for slot in slots if "name" in slot}
-    known = max((slot["idx"] for slot in slots), default=-1) + 1
-    width = attributes.get("num_attrs") or known
-    return [named.get(i, f"feature_{i}") for i in range(width)]
+# --- Fixed values: what the sign of a coefficient is called. ---
+DIRECTIONS = {1: "higher_delay_risk", -1: "lower_delay_risk", 0: "neutral"}
 
 
-def coefficients(
-    model: LogisticRegressionModel | PipelineModel,
-    features: DataFrame,
-    numbers: Sequence[str] = NUMERIC_FEATURES,
-) -> DataFrame:
+def slot_names(preprocessor: PipelineModel) -> list[str]:
+    """What each slot of the feature vector stands for, read off the fitted stages.
+
+    The indexer holds every category's values by slot; one more slot per category takes all other
+    values. The numbers follow in the order in which the imputer took them.
+    """
+    stages = {type(stage).__name__: stage for stage in preprocessor.stages}
+    indexed, encoded = stages["StringIndexerModel"], stages["OneHotEncoderModel"]
+    names = [
+        f"{column}_{value}"
+        for column, values in zip(encoded.getOutputCols(), indexed.labelsArray)
+        for value in (*values, "__unknown")
+    ]
+    return names + [f"numeric__{name}" for name in stages["ImputerModel"].getInputCols()]
+
+
+def coefficients(model: LogisticRegressionModel, preprocessor: PipelineModel) -> DataFrame:
     """Every coefficient with its slot name, size and direction, largest first.
 
     The model holds its coefficients on the driver, so that is where the table starts.
     """
-    values = [float(v) for v in model.coefficients]
-    names = feature_names(features)
-    if len(names) != len(values):
-        names = [f"feature_{i}" for i in range(len(values))]
-    sources = {f"{SCALED}_{i}": f"numeric__{name}" for i, name in enumerate(numbers)}
-    rows = [(i, sources.get(n, n), v) for i, (n, v) in enumerate(zip(names, values))]
-    value = F.col("coefficient")
-    direction = (
-        F.when(value > 0, "higher_delay_risk")
-        .when(value < 0, "lower_delay_risk")
-        .otherwise("neutral")
-    )
-    return (
-        features.sparkSession.createDataFrame(
-            rows, "feature_index int, feature_name string, coefficient double"
-        )
-        .withColumns({"absolute_coefficient": F.abs(value), "direction": direction})
-        .orderBy(F.desc("absolute_coefficient"), "feature_index")
+    weights = model.coefficients.toArray().tolist()
+    table = SparkSession.active().createDataFrame(
+        list(zip(range(len(weights)), slot_names(preprocessor), weights, strict=True)),
+        "feature_index int, feature_name string, coefficient double",
     )
+    called = F.create_map(*[F.lit(x) for pair in DIRECTIONS.items() for x in pair])
+    return table.select(
+        "*",
+        F.abs("coefficient").alias("absolute_coefficient"),
+        called[F.signum("coefficient").cast("int")].alias("direction"),
+    ).orderBy(F.desc("absolute_coefficient"), "feature_index")
 
 
 def fixed_score(columns: Mapping[str, float], intercept: float) -> Column:

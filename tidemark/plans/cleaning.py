@@ -31,7 +31,7 @@ def prepare(raw: DataFrame, config: spec.RunConfig) -> Prepared:
     """
     columns = [*spec.IDENTITY, *spec.COPY_ORDER, "rejection_reason"]
     staged = save_shared(stage(raw, config.bounds).select(*columns), "staged")
-    unique = save_shared(unique_rows(staged), "unique")
+    unique = save_shared(unique_rows(staged, written=True), "unique")
     quality = save_shared(quality_report(staged, unique), "quality")
     accepted = derive_columns(unique)
     totals = save_shared(day_totals(accepted, spec.ENTITIES), "day-totals")
@@ -46,5 +46,5 @@ def prepare(raw: DataFrame, config: spec.RunConfig) -> Prepared:
     return Prepared(
         quality=quality,
         histories=histories,
-        featured=save_shared(add_split(featured, config.bounds), "featured"),
+        featured=save_shared(add_split(featured, config.bounds), "featured", by=["split"]),
     )

@@ -71,6 +71,7 @@ def report_tables(
     validation_baseline, test_baseline = baselines(prepared.featured, config)
     selected = spark.createDataFrame([best], fitted.grid.withColumn(
         "threshold_at_grid_edge", F.lit(True)).schema)
+    # The names of the tables are fixed values.
     test_rate = summary.filter("split = 'test'").select("delay_rate")
     return {
         "data_quality_summary": prepared.quality.orderBy("stage", "reason"),
@@ -131,11 +132,7 @@ def summary_document(
         F.lit(saved["error"]).cast("string").alias("error"),
     )
     return fitted.predictions.sparkSession.range(1).select(
-        F.lit("completed flight arrival delay at least 15 minutes").alias("target"),
-        F.lit(
-            "entity rates use completed flights of strictly earlier dates; outcomes of the same "
-            "or later dates are left out"
-        ).alias("historical_feature_rule"),
+        F.lit(spec.LATE_MINUTES).alias("late_minutes"),
         literal(period).alias("data_period"),
         literal(chosen).alias("selected_model"),
         serialization.alias("serialization"),

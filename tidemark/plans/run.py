@@ -47,7 +47,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     add = parser.add_argument
     day = dt.date.fromisoformat
-    add("--input", nargs="+", required=True, help="CSV paths or globs, one header per path")
+    add("--input", nargs="+", required=True, help="CSV paths or globs")
     add("--output", required=True, help="folder for the results")
     add("--start-date", type=day, default=bounds.start)
     add("--train-end-date", type=day, default=bounds.train_end)

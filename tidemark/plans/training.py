@@ -13,7 +13,6 @@ from tidemark import spec
 from tidemark.operators.logistic import coefficients, fit_logistic, grid_metrics, score_rows
 from tidemark.operators.preprocess import fit_preprocessor
 from tidemark.operators.selection import select_best
-from tidemark.operators.splits import split_frames
 from tidemark.operators.sweep import SCORE, apply_threshold
 from tidemark.sources.shared import kept, save_shared
 
@@ -33,12 +32,11 @@ def _model_input(preprocessor: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def fit_run(featured: DataFrame, config: spec.RunConfig) -> Fitted:
-    """``featured`` is read once per fitting step, so it should be a written table.
+    """``featured`` is read once per fitting step, so it should be written by split.
 
     What comes to the driver is the best grid row and the models themselves.
     """
-    frames = split_frames(featured, config.bounds)
-    train, validation, test = (frames[name] for name in spec.SPLITS)
+    train, validation, test = (featured.filter(F.col("split") == name) for name in spec.SPLITS)
     grid = config.grid
 
     preprocessor = fit_preprocessor(train)
@@ -70,5 +68,5 @@ def fit_run(featured: DataFrame, config: spec.RunConfig) -> Fitted:
         preprocessor=preprocessor,
         model=model,
         predictions=predictions,
-        coefficients=coefficients(model, features),
+        coefficients=coefficients(model, preprocessor),
     )

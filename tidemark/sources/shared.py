@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -16,8 +16,10 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared").rstrip("/")
 
 
-def save_shared(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write the rows as Parquet and return the written table.
+def save_shared(
+    df: DataFrame, name: str, by: Sequence[str] = (), **options: str
+) -> DataFrame:
+    """Write the rows as Parquet, in folders ``by`` some columns, and return the written table.
 
     Readers of the returned table prune columns and skip row groups, survive the loss of executors
     without recomputing what came before, and are planned with the table's true size.
@@ -25,7 +27,7 @@ def save_shared(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    df.write.options(**options).partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -37,10 +37,11 @@ MISSING_ARRIVAL_DELAY = "MISSING_ARRIVAL_DELAY"
 MISSING_STATUS_FLAG = "MISSING_STATUS_FLAG"
 ACCEPTED = "ACCEPTED"
 
+# --- Fixed value: from this many minutes on an arrival is late. ---
 LATE_MINUTES = 15.0
 
-# What makes two accepted rows the same flight, and the fields that rank copies of one flight:
-# the copy with the least values survives.
+# --- Fixed values: what makes two accepted rows the same flight, and the fields that rank copies of one flight:
+# the copy with the least values survives. ---
 IDENTITY = ("flight_date", "carrier", "flight_number", "origin", "dest", "crs_dep_time")
 COPY_ORDER = ("arr_delay", "crs_arr_time", "crs_elapsed_time", "distance")
 
@@ -107,6 +108,7 @@ MINUTES_PER_DAY = 1440.0
 class SplitBounds:
     """Last days of the three chronological splits; every bound is inclusive."""
 
+    # Fixed values.
     start: dt.date = dt.date(2023, 1, 1)
     train_end: dt.date = dt.date(2024, 12, 31)
     validation_end: dt.date = dt.date(2025, 6, 30)
@@ -126,6 +128,7 @@ class SplitBounds:
 class Smoothing:
     """Weight of the global rate in a smoothed entity rate, and the rate before any outcome."""
 
+    # Fixed values.
     prior_weight: float = 20.0
     default_rate: float = 0.20
 
@@ -140,6 +143,7 @@ class Smoothing:
 class ModelGrid:
     """L2 penalties and decision thresholds to try, and the solver's iteration limit."""
 
+    # Fixed values.
     reg_params: tuple[float, ...] = (0.0, 0.001, 0.01, 0.1)
     thresholds: tuple[float, ...] = (
         0.20, 0.25, 0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70,
