@@ -145,15 +145,17 @@ def write_tokens(documents: DataFrame, path: str, vocabulary: str | None = None)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """The segments, each with ``start``: the number of ids in all files before it.
+    return spark.read.schema(SEGMENT).parquet(path)
 
-    Files are numbered in order, so their starts come from one total per file.
+
+def _bases(segments: DataFrame) -> DataFrame:
+    """``part, base``: the number of ids in all files before it.
+
+    Files are numbered in order, so this takes one total per file.
     """
-    segments = spark.read.schema(SEGMENT).parquet(path)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = segments.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    return segments.join(bases, "part").withColumn("start", F.col("base") + F.col("first"))
+    return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +166,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                    "start": pa.array([row["start"] + s for s in starts], pa.int64()),
+                    "part": pa.array([row["part"]] * len(starts), pa.int32()),
+                    "start": pa.array([row["first"] + s for s in starts], pa.int64()),
                     "n_tokens": pa.array(np.diff([0, *row["ends"]]), pa.int64()),
                     "ids_crc32": pa.array(
                         [zlib.crc32(ids[s:e].tobytes()) for s, e in zip(starts, row["ends"])],
@@ -176,9 +179,12 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_digests(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from its ids as read back."""
-    columns = read_segments(spark, path).select("start", "n_tokens", "doc_ids", "ends", "levels")
-    return columns.mapInArrow(
-        _digests, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    segments = read_segments(spark, path)
+    digests = segments.select("part", "first", "n_tokens", "doc_ids", "ends", "levels").mapInArrow(
+        _digests, "doc_id long, part int, start long, n_tokens long, ids_crc32 long"
+    )
+    return digests.join(_bases(segments), "part").select(
+        "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
@@ -200,11 +206,14 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame
     Positions meet segments by blocks of ``SEGMENT_TOKENS`` positions that a segment touches.
     """
     block = F.lit(SEGMENT_TOKENS)
-    segments = read_segments(spark, path).withColumn("end", F.col("start") + F.col("n_tokens"))
-    spans = segments.select(
-        "start", "end",
-        F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("end") - 1) / block)))
-        .alias("block"),
+    segments = read_segments(spark, path)
+    start = F.col("base") + F.col("first")
+    spans = segments.select("part", "seq", "first", "n_tokens").join(_bases(segments), "part")
+    spans = spans.select("part", "seq", start.alias("start"),
+                         (start + F.col("n_tokens")).alias("end"))
+    spans = spans.withColumn(
+        "block",
+        F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("end") - 1) / block))),
     )
     asked = positions.select(
         F.col("position").cast("long"), F.floor(F.col("position") / block).alias("block")
@@ -212,7 +221,7 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame
     inside = (F.col("position") >= F.col("start")) & (F.col("position") < F.col("end"))
     wanted = (
         asked.join(spans, "block").filter(inside)
-        .groupBy("start").agg(F.collect_list("position").alias("positions"))
+        .groupBy("part", "seq", "start").agg(F.collect_list("position").alias("positions"))
     )
-    found = segments.join(wanted, "start").select("start", "levels", "positions")
+    found = segments.join(wanted, ["part", "seq"]).select("start", "levels", "positions")
     return found.mapInArrow(_picked, "position long, id long")
