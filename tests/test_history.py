@@ -12,7 +12,8 @@ from tidemark.operators.history import (
     coarser_totals,
     day_totals,
     global_prior,
-    history_table,
+    histories,
+    history_columns,
     prior_totals,
     prior_totals_by_range,
 )
@@ -20,6 +21,7 @@ from tidemark.operators.running import totals_before_day
 from tidemark.operators.splits import (
     add_split,
     class_distribution,
+    entity_coverage,
     history_coverage,
     split_frames,
     split_summary,
@@ -93,8 +95,7 @@ def test_histories_match_brute_force(spark, seed):
 
 def test_saved_histories_are_the_same(spark):
     rows = spark.createDataFrame(random_rows(3), SCHEMA)
-    totals = save_shared(day_totals(rows, spec.ENTITIES), "totals")
-    saved = attach_history(rows, history_table(totals, save=save_shared))
+    saved = attach_history(rows, histories(rows, save=save_shared))
     lazy = add_history(rows)
     assert saved.exceptAll(lazy).isEmpty() and lazy.exceptAll(saved).isEmpty()
 
@@ -103,17 +104,16 @@ def test_changing_an_outcome_changes_no_earlier_history(spark):
     rows = random_rows(4)
     cut = DAY + dt.timedelta(days=20)
     changed = [(*r[:-1], 1.0 - r[-1]) if r[1] >= cut else r for r in rows]
-    columns = [c for c in history_table(
-        day_totals(spark.createDataFrame(rows, SCHEMA), spec.ENTITIES)).columns if "hist" in c]
+    columns = history_columns()
 
-    def histories(data):
+    def found(data):
         df = add_history(spark.createDataFrame(data, SCHEMA))
         return {
             r["flight_key"]: tuple(r[c] for c in columns)
             for r in df.filter(F.col("flight_date") <= F.lit(cut)).collect()
         }
 
-    assert histories(rows) == histories(changed)
+    assert found(rows) == found(changed)
 
 
 def test_row_order_does_not_matter(spark):
@@ -161,10 +161,10 @@ def test_plans_need_no_single_task_and_no_python(spark, plan):
         text = plan(frame)
         for word in ("SinglePartition", "CartesianProduct", "NestedLoop", "EvalPython"):
             assert word not in text
-    # Event rows are shuffled for their histories once, whatever the number of entities.
-    totals = save_shared(day_totals(rows, spec.ENTITIES), "totals")
-    joined = plan(attach_history(rows, save_shared(history_table(totals), "histories")))
-    assert joined.count("Join") == 1
+    # Small histories are broadcast: event rows are not shuffled at all.
+    joined = plan(attach_history(rows.select("*"), histories(rows, save=save_shared)))
+    assert joined.count("BroadcastHashJoin") == 5 and "SortMergeJoin" not in joined
+    assert joined.count("hashpartitioning") == 0
 
 
 def test_splits_are_inclusive_and_do_not_overlap(spark):
@@ -191,7 +191,8 @@ def test_summary_classes_and_coverage(spark):
                               DAY + dt.timedelta(days=39))
     rows = spark.createDataFrame(random_rows(9), SCHEMA)
     featured = add_split(add_history(rows), bounds)
-    table = add_split(history_table(day_totals(rows, spec.ENTITIES)), bounds)
+    found = histories(rows)
+    table = add_split(found.daily, bounds)
     from_rows = split_summary(featured)
     from_totals = split_summary(table, label="positives", weight="rows")
     assert from_rows.exceptAll(from_totals).isEmpty()
@@ -199,7 +200,7 @@ def test_summary_classes_and_coverage(spark):
     shares = class_distribution(from_rows).groupBy("split").agg(F.sum("share").alias("s"))
     assert all(r["s"] == pytest.approx(1.0) for r in shares.collect())
     one = sorted(map(tuple, history_coverage(featured).collect()))
-    two = sorted(map(tuple, history_coverage(table, weight="rows").collect()))
+    two = sorted(map(tuple, entity_coverage(found, bounds).collect()))
     assert len(one) == 12
     for a, b in zip(one, two):
         assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
@@ -243,11 +244,10 @@ def test_a_hot_group_is_split_when_rows_meet_their_histories(spark):
             ],
             (F.col("id") % 4 == 0).cast("double").alias("label"),
         )
-        totals = save_shared(day_totals(rows, spec.ENTITIES), "totals")
-        histories = save_shared(history_table(totals), "histories")
-        joined = attach_history(rows, histories)
+        found = histories(rows, save=save_shared)
+        joined = attach_history(rows, found)
         assert len(joined.select("flight_key", "hist_carrier_count").collect()) == 60000
-        collected = attach_history(rows, histories)
+        collected = attach_history(rows, found)
         collected.collect()
         text = collected._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in text

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.accepted import accepted_rows, derive_columns, unique_rows
 from tidemark.operators.features import add_schedule_features
-from tidemark.operators.history import attach_history, day_totals, history_table
+from tidemark.operators.history import Histories, attach_history, histories
 from tidemark.operators.splits import add_split
 from tidemark.operators.staging import stage
 from tidemark.sources.shared import save_shared
@@ -127,20 +127,12 @@ def saved_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_columns(save_shared(unique_rows(staged(spark, sf_dir)), "unique"))
 
 
-def histories_of(rows: DataFrame, entities: Sequence[str] = ENTITIES) -> DataFrame:
-    totals = save_shared(day_totals(rows, entities), "day-totals")
-    return add_split(history_table(totals, entities), BOUNDS)
-
-
-def flight_histories(
-    spark: SparkSession, sf_dir: str, entities: Sequence[str] = ENTITIES
-) -> DataFrame:
-    return histories_of(accepted(spark, sf_dir), entities)
+def saved_histories(rows: DataFrame, entities: Sequence[str] = ENTITIES) -> Histories:
+    return histories(rows, entities, save=save_shared)
 
 
 def with_history(rows: DataFrame, entities: Sequence[str] = ENTITIES) -> DataFrame:
-    joined = attach_history(rows, histories_of(rows, entities), entities)
-    return add_split(joined, BOUNDS)
+    return add_split(attach_history(rows, saved_histories(rows, entities)), BOUNDS)
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +28,9 @@ from tidemark.operators.features import add_cycle, add_schedule_features
 from tidemark.operators.headers import resolve_fields
 from tidemark.operators.history import (
     attach_history,
-    coarser_totals,
     day_totals,
     global_prior,
+    histories,
     history_columns,
     history_table,
     prior_totals,
@@ -50,7 +51,7 @@ from tidemark.operators.selection import best_per_group, select_best
 from tidemark.operators.splits import (
     add_split,
     class_distribution,
-    history_coverage,
+    entity_coverage,
     split_frames,
     split_summary,
 )
@@ -192,27 +193,27 @@ def daily_totals(spark, sf_dir):
 
 
 def prior(spark, sf_dir):
-    return rounded(global_prior(day_totals(bind.accepted(spark, sf_dir), []), 0.2))
+    daily = save_shared(day_totals(bind.accepted(spark, sf_dir), []), "daily")
+    return rounded(global_prior(daily, 0.2))
 
 
 def entity_daily(spark, sf_dir):
-    """Every entity's day totals, each from the totals by all entities."""
-    totals = save_shared(day_totals(bind.accepted(spark, sf_dir), spec.ENTITIES), "day-totals")
+    """Every entity's day totals."""
+    rows = bind.saved_accepted(spark, sf_dir)
     parts = [
-        coarser_totals(totals, [name]).select(
+        day_totals(rows, [name]).select(
             F.lit(name).alias("entity"), F.col(name).alias("key"),
             "flight_date", "positives", "rows",
         )
         for name in spec.ENTITIES
     ]
-    carrier, route, origin, dest = parts
-    return carrier.unionByName(route).unionByName(origin).unionByName(dest)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def entity_history(name: str) -> Query:
     def query(spark, sf_dir):
         totals = save_shared(day_totals(bind.accepted(spark, sf_dir), [name]), "day-totals")
-        return rounded(history_table(totals, [name]))
+        return rounded(history_table(totals, name))
 
     return query
 
@@ -269,7 +270,8 @@ def classes(spark, sf_dir):
 
 
 def coverage(spark, sf_dir):
-    return rounded(history_coverage(bind.flight_histories(spark, sf_dir), weight="rows"))
+    found = bind.saved_histories(bind.saved_accepted(spark, sf_dir))
+    return rounded(entity_coverage(found, bind.BOUNDS))
 
 
 def refit_union(spark, sf_dir):
@@ -604,20 +606,15 @@ def json_sink(spark, sf_dir):
 # --- events: the same operators on other columns ---
 
 
-def _event_totals(spark, sf_dir, entities: Sequence[str]):
-    rows = bind.events(spark, sf_dir)
-    return rows, save_shared(day_totals(rows, entities, date="day"), "event-totals")
-
-
 def events_global_prior(spark, sf_dir):
-    _, totals = _event_totals(spark, sf_dir, [])
-    return rounded(global_prior(totals, 0.2, date="day", rate="rate"))
+    daily = save_shared(day_totals(bind.events(spark, sf_dir), [], date="day"), "daily")
+    return rounded(global_prior(daily, 0.2, date="day", rate="rate"))
 
 
 def events_history(spark, sf_dir):
-    rows, totals = _event_totals(spark, sf_dir, bind.EVENT_ENTITIES)
-    histories = history_table(totals, bind.EVENT_ENTITIES, date="day", rate="rate")
-    joined = attach_history(rows, histories, bind.EVENT_ENTITIES, date="day", rate="rate")
+    rows = bind.events(spark, sf_dir)
+    found = histories(rows, bind.EVENT_ENTITIES, date="day", rate="rate", save=save_shared)
+    joined = attach_history(rows, found, date="day", rate="rate")
     columns = [c for c in history_columns(bind.EVENT_ENTITIES, "rate") if "global" not in c]
     return rounded(joined.select("event_id", *columns))
 

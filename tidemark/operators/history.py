@@ -1,12 +1,16 @@
 """Outcome histories from strictly earlier dates, and rates smoothed towards the global rate.
 
-All histories are worked out on day totals, never on event rows. A day total table holds at most
-one row per entity and day, so a busy entity costs no more than a quiet one.
+All histories are worked out on day totals, never on event rows. The day totals of one entity hold
+at most one row per value and day, so a busy value costs no more than a quiet one. Totals by several
+entities at once grow nearly as the events do, so every entity has its own, and event rows meet
+each by a plain equality of entity and date; written out first, those that are small enough are
+broadcast by Spark, and event rows are shuffled for the others only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,55 +104,92 @@ def history_columns(
     return [f"hist_{name}_{part}" for name in names for part in ("count", rate)]
 
 
+def entity_history(totals: DataFrame, name: str, date: str = "flight_date") -> DataFrame:
+    """An entity's day totals with ``hist_<name>_positives`` and ``hist_<name>_count`` beside them."""
+    earlier = Window.partitionBy(name).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    return totals.withColumns(
+        {
+            f"hist_{name}_positives": F.coalesce(F.sum("positives").over(earlier), zero),
+            f"hist_{name}_count": F.coalesce(F.sum("rows").over(earlier), zero),
+        }
+    )
+
+
 def history_table(
     totals: DataFrame,
-    entities: Sequence[str] = ENTITIES,
+    name: str,
     smoothing: Smoothing = Smoothing(),
     date: str = "flight_date",
     rate: str = "delay_rate",
-    save: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """``totals`` (day totals by all the entities at once) with every history attached.
+    """One entity's day totals with its own and the global history."""
+    prior = global_prior(totals, smoothing.default_rate, date, rate)
+    own = smoothed_rate(name, smoothing.prior_weight, f"hist_global_{rate}")
+    table = entity_history(totals, name, date).join(prior, date, "left")
+    return table.withColumn(f"hist_{name}_{rate}", own).select(
+        name, date, "positives", "rows", *history_columns([name], rate)
+    )
 
-    An entity without earlier rows, or a null entity, has count 0 and the global rate.
-    ``save`` (such as ``save_shared``) writes each entity's history out first; Spark then knows its
-    size when it plans the join, and shuffles ``totals`` only for those too large to broadcast.
-    """
+
+@dataclass(frozen=True)
+class Histories:
+    """Day totals and the global history by date, and each entity's by its value and date."""
+
+    daily: DataFrame
+    prior: DataFrame
+    entities: Mapping[str, DataFrame]
+
+
+def histories(
+    df: DataFrame,
+    entities: Sequence[str] = ENTITIES,
+    smoothing: Smoothing = Smoothing(),
+    date: str = "flight_date",
+    label: str = "label",
+    rate: str = "delay_rate",
+    save: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> Histories:
+    """``save`` (such as ``save_shared``) writes the day totals and each history out, which gives
+    them a known size when the joins are planned; ``df`` should then be a written table."""
     save = save or (lambda table, name: table)
-    prior = save(global_prior(totals, smoothing.default_rate, date, rate), "global-prior")
-    table = totals.join(prior, date, "left")
-    for name in entities:
-        daily = coarser_totals(totals, [name], date)
-        history = save(prior_totals(daily, [name], name, date), f"history-{name}")
-        table = table.join(history, [name, date], "left").withColumns(
-            {
-                f"hist_{name}_{rate}": smoothed_rate(
-                    name, smoothing.prior_weight, f"hist_global_{rate}"
-                ),
-                f"hist_{name}_count": F.coalesce(f"hist_{name}_count", F.lit(0).cast("long")),
-            }
-        )
-    return table.select(*entities, date, "positives", "rows", *history_columns(entities, rate))
+    daily = save(day_totals(df, [], date, label), "daily")
+    return Histories(
+        daily=daily,
+        prior=save(global_prior(daily, smoothing.default_rate, date, rate), "global-prior"),
+        entities={
+            name: save(
+                entity_history(day_totals(df, [name], date, label), name, date), f"history-{name}"
+            )
+            for name in entities
+        },
+    )
 
 
 def attach_history(
     df: DataFrame,
-    histories: DataFrame,
-    entities: Sequence[str] = ENTITIES,
+    found: Histories,
+    smoothing: Smoothing = Smoothing(),
     date: str = "flight_date",
     rate: str = "delay_rate",
 ) -> DataFrame:
     """Event rows with the history columns of their entities and day.
 
-    The event rows take part in this one join only, whatever the number of entities. It is
-    null-safe: a row with one null entity still gets the histories of the others.
+    A null entity has no earlier rows: count 0 and the global rate.
     """
-    keys = [*entities, date]
-    lookup = histories.select(
-        *[F.col(key).alias(f"_{key}") for key in keys], *history_columns(entities, rate)
-    )
-    matches = [df[key].eqNullSafe(lookup[f"_{key}"]) for key in keys]
-    return df.join(lookup, matches, "left").drop(*[f"_{key}" for key in keys])
+    joined = df.join(found.prior, date, "left")
+    for name, table in found.entities.items():
+        own = table.drop("positives", "rows")
+        count, positives = f"hist_{name}_count", f"hist_{name}_positives"
+        joined = joined.join(own, [name, date], "left").withColumns(
+            {
+                count: F.coalesce(count, F.lit(0).cast("long")),
+                f"hist_{name}_{rate}": smoothed_rate(
+                    name, smoothing.prior_weight, f"hist_global_{rate}"
+                ),
+            }
+        ).drop(positives)
+    return joined.select(*df.columns, *history_columns(list(found.entities), rate))
 
 
 def add_history(
@@ -159,11 +200,6 @@ def add_history(
     label: str = "label",
     rate: str = "delay_rate",
 ) -> DataFrame:
-    """Day totals, histories and join in one lazy plan.
-
-    On a large table write the day totals out first (``save_shared``) and pass them to
-    ``history_table``: each entity reads them once more.
-    """
-    totals = day_totals(df, entities, date, label)
-    histories = history_table(totals, entities, smoothing, date, rate)
-    return attach_history(df, histories, entities, date, rate)
+    """Day totals, histories and joins in one lazy plan, for small tables."""
+    found = histories(df, entities, smoothing, date, label, rate)
+    return attach_history(df, found, smoothing, date, rate)

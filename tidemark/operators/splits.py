@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import spec
 from tidemark.functions.ratios import share
+from tidemark.operators.history import Histories
 
 
 def add_split(df: DataFrame, bounds: spec.SplitBounds, date: str = "flight_date") -> DataFrame:
@@ -125,3 +127,14 @@ def history_coverage(
         ]
     )
     return totals.select("split", F.inline(lines))
+
+
+def entity_coverage(
+    found: Histories, bounds: spec.SplitBounds, date: str = "flight_date"
+) -> DataFrame:
+    """History coverage from each entity's day totals, which stand for their event rows."""
+    parts = [
+        history_coverage(add_split(table, bounds, date), [name], weight="rows")
+        for name, table in found.entities.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

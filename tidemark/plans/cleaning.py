@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from tidemark import spec
 from tidemark.operators.accepted import derive_columns, unique_rows
 from tidemark.operators.features import add_schedule_features
-from tidemark.operators.history import attach_history, day_totals, history_table
+from tidemark.operators.history import Histories, attach_history, histories
 from tidemark.operators.quality import quality_report
 from tidemark.operators.splits import add_split
 from tidemark.operators.staging import stage
@@ -19,32 +19,23 @@ from tidemark.sources.shared import save_shared
 @dataclass(frozen=True)
 class Prepared:
     quality: DataFrame
-    histories: DataFrame
+    histories: Histories
     featured: DataFrame
 
 
 def prepare(raw: DataFrame, config: spec.RunConfig) -> Prepared:
     """The raw records are read and parsed once; every later step reads written Parquet columns.
 
-    Staged rows, unique rows, day totals, histories and features go to the shared folder. Event rows
-    are shuffled twice: once to remove copies and once to meet their histories.
+    Staged rows, unique rows, day totals, histories and features go to the shared folder. Rows are
+    shuffled once to remove copies, and once more for each entity whose history is too large to be
+    broadcast. Staged rows stay beside the unique ones because the audit counts them.
     """
     columns = [*spec.IDENTITY, *spec.COPY_ORDER, "rejection_reason"]
     staged = save_shared(stage(raw, config.bounds).select(*columns), "staged")
     unique = save_shared(unique_rows(staged, written=True), "unique")
     quality = save_shared(quality_report(staged, unique), "quality")
     accepted = derive_columns(unique)
-    totals = save_shared(day_totals(accepted, spec.ENTITIES), "day-totals")
-    histories = save_shared(
-        add_split(
-            history_table(totals, spec.ENTITIES, config.smoothing, save=save_shared),
-            config.bounds,
-        ),
-        "histories",
-    )
-    featured = add_schedule_features(attach_history(accepted, histories, spec.ENTITIES))
-    return Prepared(
-        quality=quality,
-        histories=histories,
-        featured=save_shared(add_split(featured, config.bounds), "featured", by=["split"]),
-    )
+    found = histories(accepted, spec.ENTITIES, config.smoothing, save=save_shared)
+    featured = add_schedule_features(attach_history(accepted, found, config.smoothing))
+    featured = save_shared(add_split(featured, config.bounds), "featured", by=["split"])
+    return Prepared(quality=quality, histories=found, featured=featured)

@@ -11,8 +11,9 @@ from tidemark.operators.errors import top_errors
 from tidemark.operators.ranking import roc_auc
 from tidemark.operators.selection import best_per_group
 from tidemark.operators.splits import (
+    add_split,
     class_distribution,
-    history_coverage,
+    entity_coverage,
     split_frames,
     split_summary,
 )
@@ -56,9 +57,8 @@ def report_tables(
         "threshold": F.lit(best["threshold"]),
     }
     # Summary and coverage come from the histories: day totals with their row counts.
-    summary = save_shared(
-        split_summary(prepared.histories, label="positives", weight="rows"), "summary"
-    )
+    daily = add_split(prepared.histories.daily, config.bounds)
+    summary = save_shared(split_summary(daily, label="positives", weight="rows"), "summary")
     metrics = save_shared(
         threshold_metrics(fitted.predictions, [best["threshold"]])
         .drop("position")
@@ -77,7 +77,7 @@ def report_tables(
         "data_quality_summary": prepared.quality.orderBy("stage", "reason"),
         "split_summary": summary,
         "class_distribution": class_distribution(summary),
-        "historical_feature_coverage": history_coverage(prepared.histories, weight="rows"),
+        "historical_feature_coverage": entity_coverage(prepared.histories, config.bounds),
         "model_selection_validation": fitted.grid.orderBy("position"),
         "model_selection_best": best_per_group(fitted.grid).orderBy("reg_param"),
         "selected_validation_metrics": compare(
