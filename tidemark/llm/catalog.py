@@ -6,11 +6,13 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
     decontamination,
     near_duplicates,
+    oracles,
     packing,
     quality,
     repeats,
@@ -76,7 +78,8 @@ def op7_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_path_template_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     labels = url_filters.labels_by_path(pages, table(spark, sf_dir, "labels"))
-    return url_filters.judge(pages, labels, URL_RULES)
+    judged = url_filters.judge(pages, labels, URL_RULES)
+    return judged.withColumn("purity", F.round("purity", 6))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,4 +107,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """What cannot be put in SQL is tested against brute force instead: ids of a tokenizer, learned
+    scores, a packing, a balanced partition, and spans of expressions."""
+    return {
+        "op2_minhash_near_duplicates": oracles.NEAR_DUPLICATES,
+        "op3_prefix_filtered_decontamination": oracles.DECONTAMINATION,
+        "op4_suffix_merge_repeats": oracles.REPEATS,
+        "op8_path_template_filters": oracles.url_filters_sql(URL_RULES),
+    }
