@@ -12,16 +12,17 @@ their full sets.
 
 Buckets are not expanded into pairs:
 
-1. Every node of a bucket is paired with the bucket's hub, its least node, in one join. The links
-   found give components.
-2. Where members of a bucket are still in different components, the bucket is cut into slices of
-   ``SLICE`` nodes, and each pair of slices is compared in a task's memory, only between different
-   components, not with the hub again, and only in the first band two nodes share. So no link
-   between components is lost, and no task holds more than two slices.
+1. Every node of a bucket is paired with the bucket's hub, the node that meets most others over all
+   its buckets, in one join. The links found give components.
+2. Buckets whose members are still in different components are joined into groups. In a group only
+   nodes outside its largest component have to be compared, with all of the group: both sides are
+   cut into slices of ``SLICE`` nodes, and each pair of slices is compared in a task's memory,
+   first by signature, then by full set. A link makes one component of two at once, so a pair of
+   slices gives fewer links than it has nodes, and no link between components is lost.
 
 Shingles are 64-bit hashes, sets compared as sorted arrays of them; texts of different words have
-equal hashes with probability about 2**-64 per pair. Sets are built a second time from the texts of
-the surviving nodes only.
+equal hashes with probability about 2**-64 per pair. Sets are built a second time, from the texts of
+nodes that share a bucket.
 
 A null, empty or blank text has the empty set, and is linked with nothing. The component of a node
 is the least doc_id of its rows, nulls aside. Rows that repeat are copies. Only doc_id and text are
@@ -213,109 +214,99 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = np.sort(np.concatenate([a, b]))
+    same = int((both[1:] == both[:-1]).sum())
+    return 100 * same >= percent * (len(both) - same)
+
+
 def _linked(
     percent: int,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a_set"), batch.column("b_set")):
-                a = np.frombuffer(a.as_buffer(), np.uint64)
-                b = np.frombuffer(b.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([a, b]))
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(both) - same))
+            keep = [
+                _similar(np.frombuffer(a.as_buffer(), np.uint64),
+                         np.frombuffer(b.as_buffer(), np.uint64), percent)
+                for a, b in zip(batch.column("a_set"), batch.column("b_set"))
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return linked
 
 
-class _Verifier:
-    """Links among candidate pairs, by signature and then by full set."""
-
-    def __init__(self, documents: DataFrame, nodes: DataFrame, percent: int):
-        self._documents, self._nodes, self._percent = documents, nodes, percent
-        self._needed = least_matches(percent / 100)
-
-    def _near(self, pairs: DataFrame) -> DataFrame:
-        sized = self._nodes.select("node", "n_shingles", "signature")
-        both = pairs
-        for side in ("a", "b"):
-            both = both.join(
-                sized.select(F.col("node").alias(side), F.col("n_shingles").alias(f"{side}_size"),
-                             F.col("signature").alias(f"{side}_signature")),
-                side,
-            )
-        sizes = (F.col("a_size"), F.col("b_size"))
-        both = both.filter(100 * F.least(*sizes) >= self._percent * F.greatest(*sizes))
-        return both.select("a", "b", "a_signature", "b_signature").mapInArrow(
-            _prune(self._needed), "a binary, b binary"
-        )
-
-    def links(self, pairs: DataFrame, pruned: bool = False) -> DataFrame:
-        """``pairs`` has nodes ``a`` and ``b``."""
-        near = save_shared(pairs if pruned else self._near(pairs), "near")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        source = self._nodes.join(wanted, "node").select(
-            F.col("source.doc_id").alias("source_id"), F.col("source.text_key").alias("source_key")
-        )
-        rows = _keyed(self._documents)
-        same = (rows["text_key"] == source["source_key"]) & rows["doc_id"].eqNullSafe(
-            source["source_id"]
-        )
-        sets = rows.join(source, same, "left_semi").select("text").mapInArrow(
-            _sets, "node binary, shingles binary"
+def _node_sets(documents: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, shingles`` of the wanted nodes, from one text each."""
+    source = nodes.join(wanted, "node").select(
+        F.col("source.doc_id").alias("source_id"), F.col("source.text_key").alias("source_key")
+    )
+    rows = _keyed(documents)
+    same = (rows["text_key"] == source["source_key"]) & rows["doc_id"].eqNullSafe(
+        source["source_id"]
+    )
+    sets = rows.join(source, same, "left_semi").select("text").mapInArrow(
+        _sets, "node binary, shingles binary"
+    )
+    return save_shared(sets.dropDuplicates(["node"]), "sets", compression="none")
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs of nodes ``a`` and ``b`` that are linked."""
+    sized = nodes.select("node", "n_shingles", "signature")
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(
+            sized.select(F.col("node").alias(side), F.col("n_shingles").alias(f"{side}_size"),
+                         F.col("signature").alias(f"{side}_signature")),
+            side,
         )
-        sets = save_shared(sets.join(wanted, "node", "left_semi"), "sets", compression="none")
-        both = near
-        for side in ("a", "b"):
-            both = both.join(
-                sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set")), side
-            )
-        linked = both.select("a", "b", "a_set", "b_set").mapInArrow(
-            _linked(self._percent), "a binary, b binary"
+    sizes = (F.col("a_size"), F.col("b_size"))
+    both = both.filter(100 * F.least(*sizes) >= percent * F.greatest(*sizes))
+    near = both.select("a", "b", "a_signature", "b_signature").mapInArrow(
+        _prune(least_matches(percent / 100)), "a binary, b binary"
+    )
+    near = save_shared(near, "near")
+    for side in ("a", "b"):
+        near = near.join(
+            sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set")), side
         )
-        return save_shared(linked, "links")
+    linked = near.select("a", "b", "a_set", "b_set").mapInArrow(
+        _linked(percent), "a binary, b binary"
+    )
+    return save_shared(linked, "links")
 
 
-# --- slices of buckets ---
+# --- slices of groups ---
 
 
 def _compare_slices(
     needed: list[tuple[int, int]], percent: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs of one block at a time; rows come ordered by (bucket, low, high)."""
+    """Links between the two slices of one block at a time; rows come ordered by block."""
 
-    def block(rows: pa.Table) -> pa.RecordBatch | None:
-        part = rows.column("part").to_numpy()
-        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
-        bucket = rows.column("bucket")[0].as_py()
+    def block(rows: pa.Table) -> pa.RecordBatch:
         matrix = _as_matrix(rows.column("signature").combine_chunks())
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("shingles")]
+        sizes = np.array([len(s) for s in sets])
         _, root = np.unique(np.array(rows.column("root").to_pylist()), return_inverse=True)
-        sizes = rows.column("n_shingles").to_numpy()
-        hub = rows.column("is_hub").to_numpy(zero_copy_only=False)
-        keys = _band_keys(matrix)
+        label = np.arange(root.max() + 1)  # of each root, as links are found
+        left = rows.column("is_left").to_numpy()
+        ones, others = np.flatnonzero(left), np.flatnonzero(~left)
         first, second = [], []
-        ones, others = np.flatnonzero(part == low), np.flatnonzero(part == high)
         for i in ones:
-            js = others if low != high else others[others > i]
-            js = js[(root[js] != root[i]) & ~(hub[js] | hub[i])]
-            js = js[100 * np.minimum(sizes[js], sizes[i]) >= percent * np.maximum(sizes[js], sizes[i])]
-            if not len(js):
-                continue
+            js = others[label[root[others]] != label[root[i]]]
+            small, large = np.minimum(sizes[js], sizes[i]), np.maximum(sizes[js], sizes[i])
+            js = js[100 * small >= percent * large]
             js = js[passing(np.broadcast_to(matrix[i], (len(js), HASHES)), matrix[js], needed)]
-            shared = keys[js] == keys[i]
-            js = js[keys[i][shared.argmax(axis=1)] == bucket]
-            first.append(np.full(len(js), i))
-            second.append(js)
-        if not first:
-            return None
+            for j in js:
+                if label[root[j]] != label[root[i]] and _similar(sets[i], sets[j], percent):
+                    first.append(i)
+                    second.append(j)
+                    label[label == label[root[j]]] = label[root[i]]
         nodes = rows.column("node").combine_chunks()
         return pa.RecordBatch.from_pydict(
-            {
-                "a": nodes.take(pa.array(np.concatenate(first))),
-                "b": nodes.take(pa.array(np.concatenate(second))),
-            }
+            {"a": nodes.take(pa.array(first, pa.int64())),
+             "b": nodes.take(pa.array(second, pa.int64()))}
         )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,49 +314,67 @@ def _compare_slices(
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            keys = [held.column(c).to_numpy() for c in ("bucket", "low", "high")]
-            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            bounds = [0, *change.tolist()]
+            keys = held.column("block").to_numpy()
+            bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()]
             for a, b in zip(bounds, bounds[1:]):
-                found = block(held.slice(a, b - a))
-                if found is not None:
-                    yield found
+                yield block(held.slice(a, b - a))
             held = held.slice(bounds[-1])
         if held is not None and held.num_rows:
-            found = block(held)
-            if found is not None:
-                yield found
+            yield block(held)
 
     return compare
 
 
-def _slice_pairs(
-    members: DataFrame, hubs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int
+def _links_between_components(
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int
 ) -> DataFrame:
-    """Candidate pairs in buckets whose members are in several components."""
+    """Links in groups of buckets whose members are in several components."""
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_buckets = (
+    unsettled = (
         rooted.groupBy("bucket")
         .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
         .filter((F.col("least") != F.col("most")) & (F.col("n") > 2))
-        .select("bucket", F.ceil(F.col("n") / SLICE).cast("int").alias("parts"))
+        .select("bucket")
     )
-    part = F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int")
-    dealt = (
-        rooted.join(open_buckets.join(hubs.select("bucket", "hub"), "bucket"), "bucket")
-        .withColumn("part", part)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(
-            "bucket", "node", "root", "part", (F.col("node") == F.col("hub")).alias("is_hub"),
-            F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-        )
-        .join(nodes.select("node", "n_shingles", "signature"), "node")
-        .repartition("bucket", "low", "high")
-        .sortWithinPartitions("bucket", "low", "high")
+    rooted = save_shared(rooted.join(unsettled, "bucket"), "unsettled")
+    groups = connected_components(
+        rooted.select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    ).withColumnRenamed("root", "group")
+    placed = rooted.select("node", "root").distinct().join(groups, "node")
+    placed = save_shared(placed, "groups")
+    sizes = placed.groupBy("group", "root").agg(F.count("*").alias("n"))
+    plans = sizes.groupBy("group").agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"),
+        F.sum("n").alias("n"),
+        (F.sum("n") - F.max("n")).alias("outside"),
+    ).select(
+        "group", "largest",
+        F.ceil(F.col("n") / SLICE).cast("int").alias("rights"),
+        F.ceil(F.col("outside") / SLICE).cast("int").alias("lefts"),
     )
-    return dealt.mapInArrow(
+    dealt = placed.join(plans, "group").withColumn("deal", F.xxhash64("node", "group"))
+    left = dealt.filter(F.col("root") != F.col("largest")).withColumns(
+        {"left": F.pmod("deal", "lefts").cast("int"), "is_left": F.lit(True),
+         "right": F.explode(F.sequence(F.lit(0), F.col("rights") - 1))}
+    )
+    right = dealt.withColumns(
+        {"right": F.pmod("deal", "rights").cast("int"), "is_left": F.lit(False),
+         "left": F.explode(F.sequence(F.lit(0), F.col("lefts") - 1))}
+    )
+    columns = ["group", "left", "right", "is_left", "node", "root"]
+    blocks = (
+        left.select(*columns).unionByName(right.select(*columns))
+        .withColumn("block", F.xxhash64("group", "left", "right"))
+        .join(nodes.select("node", "signature"), "node")
+        .join(sets, "node")
+        .select("block", "is_left", "node", "root", "signature", "shingles")
+        .repartition("block")
+        .sortWithinPartitions("block")
+    )
+    linked = blocks.mapInArrow(
         _compare_slices(least_matches(percent / 100), percent), "a binary, b binary"
     )
+    return save_shared(linked, "more-links")
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -382,24 +391,23 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
         ),
         "nodes",
     )
-    verifier = _Verifier(documents, nodes, percent)
     members = nodes.select("node", "signature").mapInArrow(_to_bands, "bucket long, node binary")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    members = save_shared(members.join(shared, "bucket"), "members")
+    met = members.groupBy("node").agg(F.sum("n").alias("met"))
     hubs = (
-        members.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min("node").alias("hub"))
-        .filter(F.col("n") > 1)
+        members.join(met, "node")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("met", "node"))["node"].alias("hub"))
     )
-    members = save_shared(members.join(hubs.select("bucket", "hub"), "bucket"), "members")
-    hubs = members.select("bucket", "hub").distinct()
-    members = members.select("bucket", "node", "hub")
+    members = save_shared(members.join(hubs, "bucket").select("bucket", "node", "hub"), "hubs")
+    sets = _node_sets(documents, nodes, met.select("node"))
     pairs = members.filter(F.col("node") != F.col("hub")).select(
         F.col("node").alias("a"), F.col("hub").alias("b")
     )
-    links = verifier.links(pairs.distinct())
+    links = _links(pairs.distinct(), nodes, sets, percent)
     roots = save_shared(connected_components(links), "roots")
-    more = verifier.links(
-        _slice_pairs(members.drop("hub"), hubs, nodes, roots, percent), pruned=True
-    )
+    more = _links_between_components(members, nodes, sets, roots, percent)
     if not more.isEmpty():
         roots = save_shared(connected_components(links.unionByName(more)), "roots")
     placed = nodes.select("node", "least_id").join(roots, "node", "left").withColumn(
