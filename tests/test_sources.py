@@ -1,10 +1,11 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
 from tidemark.sources import csv_files, sinks
 from tidemark.sources.months import month_calendar, month_coverage
-from tidemark.sources.shared import kept, save_shared, shared_folder
+from tidemark.sources.shared import kept, save_shared, shared_area, shared_folder
 
 HEADER = ",".join(csv_files.RAW_COLUMNS)
 ROW = "2023-01-01,AA,1,SEA,LAX,800,1030,150,954,14,0,0"
@@ -111,6 +112,17 @@ def test_shared_tables(spark):
     assert not df.is_cached
 
 
+def test_an_area_is_deleted_at_its_end(spark):
+    df = spark.range(3)
+    with shared_area(spark) as folder:
+        inside = save_shared(df, "t")
+        assert folder in inside.inputFiles()[0] and inside.count() == 3
+        place = Path(inside.inputFiles()[0].removeprefix("file://")).parent
+        assert place.exists()
+    assert not place.parent.exists()
+    assert folder not in save_shared(df, "t").inputFiles()[0]
+
+
 class _Session:
     """Just enough of a session to ask for its shared folder."""
 

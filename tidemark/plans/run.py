@@ -16,25 +16,37 @@ from tidemark.plans.cleaning import prepare
 from tidemark.plans.reports import report_tables, summary_document
 from tidemark.plans.training import fit_run
 from tidemark.sources.csv_files import read_csv
+from tidemark.sources.shared import shared_area
 from tidemark.sources.sinks import save_models, write_json, write_predictions, write_report
 
 
 def run(raw: DataFrame, output: str, config: spec.RunConfig) -> dict[str, DataFrame]:
-    """Run everything on raw records; returns the report tables, written under ``output``."""
-    prepared = prepare(raw, config)
-    fitted = fit_run(prepared.featured, config)
-    tables = report_tables(prepared, fitted, config)
-    for name, table in tables.items():
-        # A model without mistakes has no error sample; any other empty table is an error.
-        if name != "error_analysis_sample" or not table.isEmpty():
-            write_report(table, f"{output}/tables/{name}")
-    saved = {"requested": False, "saved": False, "error": None}
-    if config.save_models:
-        saved = save_models(fitted.preprocessor, fitted.model, f"{output}/models")
-    if config.export_predictions:
-        write_predictions(fitted.predictions, f"{output}/predictions")
-    write_json(summary_document(tables, fitted, config, saved), f"{output}/metrics")
-    return tables
+    """Run everything on raw records; returns the report tables as written under ``output``.
+
+    Intermediate tables are deleted when all results are written.
+    """
+    spark = raw.sparkSession
+    with shared_area(spark):
+        prepared = prepare(raw, config)
+        fitted = fit_run(prepared.featured, config)
+        tables = report_tables(prepared, fitted, config)
+        written = {}
+        for name, table in tables.items():
+            # A model without mistakes has no error sample; any other empty table is an error.
+            may_be_empty = name == "error_analysis_sample"
+            path = f"{output}/tables/{name}"
+            if write_report(table, path, may_be_empty, one_file=name != "feature_coefficients"):
+                reader = spark.read.schema(table.schema).option("header", True)
+                written[name] = reader.csv(path)
+            else:
+                written[name] = spark.createDataFrame([], table.schema)
+        saved = {"requested": False, "saved": False, "error": None}
+        if config.save_models:
+            saved = save_models(fitted.preprocessor, fitted.model, f"{output}/models")
+        if config.export_predictions:
+            write_predictions(fitted.predictions, f"{output}/predictions")
+        write_json(summary_document(tables, fitted, config, saved), f"{output}/metrics")
+    return written
 
 
 def _numbers(text: str) -> tuple[float, ...]:

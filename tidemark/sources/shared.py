@@ -5,10 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder of the block that tables are being saved in, if any.
+_area: ContextVar[str | None] = ContextVar("shared_area", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, else one below ``spark.sql.warehouse.dir``."""
@@ -25,12 +29,25 @@ def save_shared(
     without recomputing what came before, and are planned with the table's true size.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    folder = _area.get() or f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shared_area(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the tables saved within the block; it is deleted at the end."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex}"
+    token = _area.set(folder)
+    try:
+        yield folder
+    finally:
+        _area.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def kept(*frames: DataFrame) -> Iterator[None]:
     """Hold frames in memory, spilling to disk, for the length of a block."""

@@ -17,15 +17,22 @@ from tidemark.spec import PREDICTION_COLUMNS
 LOG = logging.getLogger(__name__)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A report table as one CSV file with a header. An empty report is an error.
+def write_report(
+    report: DataFrame, path: str, may_be_empty: bool = False, one_file: bool = True
+) -> bool:
+    """A report table as CSV with a header; tells whether there was anything to write.
 
-    For tables whose size does not grow with the data: one task writes the file.
+    An empty report is an error unless it may be empty. ``one_file`` is for tables whose size does
+    not grow with the data: one task writes them.
     """
     with kept(report):
         if report.isEmpty():
+            if may_be_empty:
+                return False
             raise ValueError(f"nothing to write to {path}")
-        report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        parts = report.coalesce(1) if one_file else report
+        parts.write.mode("overwrite").option("header", True).csv(path)
+    return True
 
 
 def _sorted_json(column: Column, data_type: T.DataType, name: str) -> Column:
