@@ -222,4 +222,6 @@ def test_top_errors(spark, plan):
     for r in got.collect():
         by_type[r["error_type"]].append((-r["error_confidence"], r["flight_key"]))
     assert by_type == {"false_positive": fp, "false_negative": fn}
-    assert plan(got).count("TakeOrderedAndProject") == 2
+    # Every task keeps its own best rows of a kind before the one shuffle by kind.
+    text = plan(got)
+    assert "7, Partial" in text and "7, Final" in text
