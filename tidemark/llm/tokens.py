@@ -3,8 +3,9 @@
 The vocabulary's normaliser and splitter never carry anything across a blank: no piece holds white
 space, composition stops at it, and added tokens hold none. So the ids of a text are those of its
 blank-separated words one after the other, and a word met before needs no second encoding. A word
-of plain letters is one piece, whose ids the library's model gives directly; with one of ``,.;:?!``
-behind them it is two pieces. Any other word goes through the library's whole pipeline.
+of plain letters is one piece, and what ASCII punctuation stands behind them is another; the ids of
+new pieces come from the library's model in one call. Any other word goes through its whole
+pipeline.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ END_ID = 1
 # Words remembered by a Python worker; beyond it the memory starts anew. About 200 bytes each.
 REMEMBERED = 600_000
 
-# Letters whose lower case is one letter and which no normalisation changes, and one mark behind.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:?!]?)\Z")
+# Letters whose lower case is one letter and which no normalisation changes, and marks behind them.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)\Z")
 
 # Stands for the end of a text; no word is empty.
 _END = b""
@@ -37,18 +38,46 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class _Numbered(dict):
-    """Numbers words in the order in which they are first asked for, and lists the new ones."""
+    """Numbers words or pieces in the order in which they are first asked for, and lists the new ones."""
 
     def __init__(self):
         super().__init__()
-        self.new: list[bytes] = []
+        self.new: list = []
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word) -> int:
         number = self[word] = len(self)
         self.new.append(word)
         return number
 
 
+class _Spans:
+    """Growing arrays: ids, and start and length of numbered runs of them."""
+
+    def __init__(self):
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.starts = np.zeros(1 << 12, np.int64)
+        self.lengths = np.zeros(1 << 12, np.int64)
+        self.used = self.n = 0
+
+    def add_ids(self, ids: np.ndarray) -> int:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
+
+    def add_spans(self, starts: np.ndarray, lengths: np.ndarray) -> None:
+        while self.n + len(starts) > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        self.starts[self.n : self.n + len(starts)] = starts
+        self.lengths[self.n : self.n + len(starts)] = lengths
+        self.n += len(starts)
+
+    def gather(self, numbers: np.ndarray) -> np.ndarray:
+        return self.ids[ragged(self.starts[numbers], self.lengths[numbers])]
+
+
 class Encoder:
     """Encodes batches of texts; remembers the ids of words."""
 
@@ -56,54 +85,68 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
-        self._as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # The same model on pieces that are normalised and split already.
+        self._pieces_alone = Tokenizer(self._tokenizer.model)
+        self._pieces_alone.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._shown = {
+            code: as_bytes.pre_tokenize_str(chr(code))[0][0] for code in range(0xC0, 0x100)
+        }
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends_piece = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self._ends_piece[number] = token.endswith("</w>")
         self._end = end_id
         self._forget()
 
     def _forget(self) -> None:
-        self._known = _Numbered()
-        self._pieces: dict[str, list[int]] = {}
-        self._ids = np.zeros(1 << 16, np.uint32)
-        self._starts = np.zeros(1 << 12, np.int64)
-        self._lengths = np.zeros(1 << 12, np.int64)
-        self._used = 0
-
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of plain letters or of one mark, in lower case."""
-        ids = self._pieces.get(piece)
-        if ids is None:
-            shown = piece if piece.isascii() else self._as_bytes.pre_tokenize_str(piece)[0][0]
-            ids = self._pieces[piece] = [token.id for token in self._model.tokenize(shown)]
-        return ids
-
-    def _encoded(self, word: bytes) -> list[int]:
-        if not word:
-            return [self._end]
-        text = word.decode()
-        plain = _PLAIN.match(text)
-        if plain:
-            ids = self._piece(plain[1].lower())
-            return ids + self._piece(plain[2]) if plain[2] else ids
-        return self._tokenizer.encode(text, add_special_tokens=False).ids
+        self._known, self._words = _Numbered(), _Spans()
+        self._numbered, self._pieces = _Numbered(), _Spans()
+
+    def _learn_pieces(self) -> None:
+        """One call for all new pieces; the last id of each is that of a word's end."""
+        new = self._numbered.new
+        if new:
+            text = " ".join(new).translate(self._shown)
+            (found,) = self._pieces_alone.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.asarray(found.ids, np.uint32)
+            ends = np.flatnonzero(self._ends_piece[ids]) + 1
+            if len(ends) != len(new):
+                raise ValueError("a piece has no end in this vocabulary")
+            lengths = np.diff(ends, prepend=0)
+            self._pieces.add_spans(self._pieces.add_ids(ids) + ends - lengths, lengths)
+            self._numbered.new = []
 
     def _learn(self) -> None:
-        words = self._known.new
-        encoded = [self._encoded(word) for word in words]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        ids = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
-        last = len(self._known)
-        first = last - len(words)
-        while self._used + len(ids) > len(self._ids):
-            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-        while last > len(self._starts):
-            self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
-            self._lengths = np.concatenate([self._lengths, np.zeros_like(self._lengths)])
-        self._ids[self._used : self._used + len(ids)] = ids
-        self._starts[first:last] = self._used + np.cumsum(lengths) - lengths
-        self._lengths[first:last] = lengths
-        self._used += len(ids)
-        self._known.new = []
+        words, self._known.new = self._known.new, []
+        number = self._numbered.__getitem__
+        heads, tails, others = [], [], []
+        for i, word in enumerate(words):
+            if word.isalpha():
+                heads.append(number(word.lower().decode()))
+                tails.append(-1)
+                continue
+            text = word.decode()
+            plain = _PLAIN.match(text)
+            if plain:
+                heads.append(number(plain[1].lower()))
+                tails.append(number(plain[2]) if plain[2] else -1)
+            else:
+                heads.append(-1)
+                tails.append(-1)
+                others.append((i, text))
+        self._learn_pieces()
+        head, tail = np.array(heads, np.int64), np.array(tails, np.int64)
+        parts = np.stack([head, tail], axis=1)
+        sizes = np.where(parts >= 0, self._pieces.lengths[parts], 0)
+        lengths = sizes.sum(axis=1)
+        ids = self._pieces.gather(parts[parts >= 0])
+        starts = self._words.add_ids(ids) + np.cumsum(lengths) - lengths
+        for i, text in others:
+            found = self._tokenizer.encode(text, add_special_tokens=False).ids
+            found = np.asarray(found if text else [self._end], np.uint32)
+            starts[i], lengths[i] = self._words.add_ids(found), len(found)
+        self._words.add_spans(starts, lengths)
 
     def _encode_slice(self, raw: bytes, bounds: list[int]) -> tuple[np.ndarray, np.ndarray]:
         found, ends = [], []
@@ -114,9 +157,10 @@ class Encoder:
         if len(self._known) > REMEMBERED:
             self._forget()
         at = np.fromiter(map(self._known.__getitem__, found), np.int64, len(found))
-        self._learn()
-        lengths = self._lengths[at]
-        return self._ids[ragged(self._starts[at], lengths)], np.cumsum(lengths)[np.array(ends) - 1]
+        if self._known.new:
+            self._learn()
+        bounds = np.cumsum(self._words.lengths[at])
+        return self._words.gather(at), bounds[np.array(ends) - 1]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and the n + 1 offsets between texts."""
