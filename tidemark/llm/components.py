@@ -45,8 +45,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     stars, before = save_shared(proper, "edges"), None
     while (state := _state(stars)) != before:
         before = state
-        for step in (_large, _small):
-            stars = step(stars).filter(F.col("a") != F.col("b")).distinct()
-        stars = save_shared(stars, "stars")
+        pointed = _small(_large(stars).filter(F.col("a") != F.col("b")))
+        stars = save_shared(pointed.filter(F.col("a") != F.col("b")).distinct(), "stars")
     roots = stars.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

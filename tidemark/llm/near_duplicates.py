@@ -13,13 +13,15 @@ their full sets.
 Buckets are not expanded into pairs:
 
 1. Every node of a bucket is paired with the bucket's hub, the node that meets most others over all
-   its buckets, in one join. The links found give components.
-2. Buckets whose members are still in different components are joined into groups. In a group only
-   nodes outside its largest component have to be compared, with all of the group: both sides are
+   its buckets, in one join. A node linked to a hub takes it as its label.
+2. Where a bucket's nodes have several labels, the nodes of all such buckets of one hub are a group.
+   Nodes outside the group's most common label are compared with all of the group: both sides are
    cut into slices of ``SLICE`` nodes, and each pair of slices is compared in a task's memory,
-   first by signature, then by full set. A link makes one component of two at once, so a pair of
+   first by signature, then by full set. A link makes one label of two at once, so a pair of
    slices gives fewer links than it has nodes, and no link between components is lost.
 
+Components follow from all links together.
+
 Shingles are 64-bit hashes, sets compared as sorted arrays of them; texts of different words have
 equal hashes with probability about 2**-64 per pair. Sets are built a second time, from the texts of
 nodes that share a bucket.
@@ -325,23 +327,39 @@ def _compare_slices(
     return compare
 
 
-def _links_between_components(
-    members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int
+def _labels(links: DataFrame, met: DataFrame) -> DataFrame:
+    """``node, root``: of the hubs a linked node is linked to the one that meets most, and that
+    one's own label if it has one. Nodes of one label are in one component."""
+    first = save_shared(
+        links.join(met.withColumnRenamed("node", "b"), "b")
+        .groupBy("a")
+        .agg(F.max(F.struct("met", "b"))["b"].alias("root")),
+        "labels",
+    )
+    further = first.select(F.col("a").alias("root"), F.col("root").alias("next"))
+    return first.join(further, "root", "left").select(
+        F.col("a").alias("node"), F.coalesce("next", "root").alias("root")
+    )
+
+
+def _links_between_labels(
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
 ) -> DataFrame:
-    """Links in groups of buckets whose members are in several components."""
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """Links in groups of buckets whose members have several labels."""
+    rooted = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = save_shared(rooted, "rooted")
     unsettled = (
         rooted.groupBy("bucket")
         .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
         .filter((F.col("least") != F.col("most")) & (F.col("n") > 2))
         .select("bucket")
     )
-    rooted = save_shared(rooted.join(unsettled, "bucket"), "unsettled")
-    groups = connected_components(
-        rooted.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    ).withColumnRenamed("root", "group")
-    placed = rooted.select("node", "root").distinct().join(groups, "node")
-    placed = save_shared(placed, "groups")
+    placed = save_shared(
+        rooted.join(unsettled, "bucket")
+        .select(F.col("hub").alias("group"), "node", "root")
+        .distinct(),
+        "groups",
+    )
     sizes = placed.groupBy("group", "root").agg(F.count("*").alias("n"))
     plans = sizes.groupBy("group").agg(
         F.max_by("root", F.struct("n", "root")).alias("largest"),
@@ -394,7 +412,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     members = nodes.select("node", "signature").mapInArrow(_to_bands, "bucket long, node binary")
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     members = save_shared(members.join(shared, "bucket"), "members")
-    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    met = save_shared(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
     hubs = (
         members.join(met, "node")
         .groupBy("bucket")
@@ -406,10 +424,8 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
         F.col("node").alias("a"), F.col("hub").alias("b")
     )
     links = _links(pairs.distinct(), nodes, sets, percent)
-    roots = save_shared(connected_components(links), "roots")
-    more = _links_between_components(members, nodes, sets, roots, percent)
-    if not more.isEmpty():
-        roots = save_shared(connected_components(links.unionByName(more)), "roots")
+    more = _links_between_labels(members, nodes, sets, _labels(links, met), percent)
+    roots = connected_components(links.unionByName(more))
     placed = nodes.select("node", "least_id").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
