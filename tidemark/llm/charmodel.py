@@ -126,7 +126,7 @@ def _letter(char: str) -> int:
 class Restorer:
     """Restores obfuscated words of texts; remembers what it has restored."""
 
-    REMEMBERED = 200_000
+    REMEMBERED = 50_000
 
     def __init__(self, model: np.ndarray):
         self._model = model

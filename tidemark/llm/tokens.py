@@ -22,7 +22,7 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 
 # Words remembered by a Python worker; beyond it the memory starts anew. About 200 bytes each.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 # Letters whose lower case is one letter and which no normalisation changes, and marks behind them.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)\Z")

@@ -43,7 +43,7 @@ SIGNALS = 5_000
 OPENINGS = (4, 5, 6)
 LEAST_DOCUMENTS = 3
 LEAST_Z = 4.0
-_REMEMBERED = 400_000
+_REMEMBERED = 150_000
 
 
 @dataclass(frozen=True)
