@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import repeats, suffix_merge
@@ -140,3 +141,55 @@ def test_known_prefixes_are_not_compared(monkeypatch):
     monkeypatch.setattr(suffix_merge, "shared_prefix", counted)
     suffix_merge.merge_runs(runs)
     assert sum(compared) < 8 * 202 + 3 * 600
+
+
+def _line_in_other_texts(n):
+    """A line shorter than a window with other text around it, and the same with more in common."""
+    chance = random.Random(17)
+
+    def junk(k):
+        return "".join(chance.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+
+    line, before, after = junk(190), junk(8), junk(60)
+    rows = [junk(200) + line + junk(200) for _ in range(n)]
+    rows += [junk(200) + before + line + junk(200) for _ in range(9)]
+    rows += [junk(200) + line + after + junk(chance.randrange(9)) for _ in range(9)]
+    return list(enumerate(rows + rows[:3]))
+
+
+@pytest.mark.parametrize("hot, parts", [(1, 1), (1, 5), (7, 3), (20, 4)])
+def test_hot_seeds(spark, odd_documents, hot, parts):
+    rows = _line_in_other_texts(40) + list(enumerate(_texts(1, "abcdefgh é")))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    frame = frame.unionByName(odd_documents.drop("part"))
+    got = [(*tuple(r)[:5], bytes(r["kept"]))
+           for r in repeats.remove_repeats(frame, hot_segments=hot).collect()]
+    assert sorted(got, key=repr) == _plain([(r["doc_id"], r["text"]) for r in frame.collect()])
+
+
+def test_no_task_gathers_a_hot_seed():
+    most, buckets = 50, 3
+    texts = [text for _, text in _line_in_other_texts(400)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    found = pa.Table.from_batches(repeats._find(iter([batch]))).sort_by("seed").to_batches(97)
+    shared = pa.Table.from_batches(repeats._shared_seeds(most)(iter(found)))
+    seeds = Counter(t["seed"] for b in found for t in b.to_pylist() if t["kind"] != repeats._SPAN)
+    assert max(seeds.values()) > 150
+    items = {}
+    for row in shared.to_pylist():
+        items.setdefault(row["owner"], []).append((row["kind"], row["item"]))
+    packed = next(repeats._pack_texts(iter([
+        pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})])))
+    rows = [(p["owner"], p["packed"], items[p["owner"]]) for p in packed.to_pylist()
+            if p["owner"] in items]
+    joined = pa.RecordBatch.from_pydict({
+        "owner": [r[0] for r in rows], "packed": [r[1] for r in rows],
+        "kinds": [[k for k, _ in r[2]] for r in rows], "items": [[i for _, i in r[2]] for r in rows]})
+    blocks = pa.Table.from_batches(repeats._to_blocks(buckets)(iter([joined])))
+    of_seed = Counter()
+    for row in blocks.to_pylist():
+        if row["block"] is not None:
+            of_seed.update(s[: repeats.SEED] for s in suffix_merge.unpack_run(row["block"])[0])
+    assert not of_seed or max(of_seed.values()) <= most
+    windows = Counter((r["bucket"], r["window"]) for r in blocks.to_pylist() if r["window"] is not None)
+    assert windows and max(windows.values()) <= 2

@@ -9,18 +9,22 @@ anchor.
 
 1. Each batch finds its segments. Equal segments of a batch are repeated at once; one of them goes
    on. So a passage that stands everywhere is one row per batch from here.
-2. One shuffle by seed: segments whose seed occurs only once cannot be repeated and end here.
+2. One shuffle by seed: segments whose seed occurs only once cannot be repeated and end here. A seed
+   of more than ``HOT_SEGMENTS`` is hot; its segments are marked and go by their windows instead.
 3. The others meet their texts. Each task sorts its segments' strings, the bytes from the anchor on
    and then those before it, last first; and front-codes the sorted run into blocks by bucket, a
    hash of the seed.
 4. One shuffle of blocks by bucket. Runs are merged by a loser tree that never compares a known
    prefix again, which also gives the prefix each suffix shares with its neighbour. For each place
    of the anchor in a window, suffixes that share the right part and the left part are found by
-   numbering both orders; two with the same numbers are the same window.
+   numbering both orders; two with the same numbers are the same window. Each window of a hot
+   segment is a row of the same shuffle, dealt by its own 128-bit hash: equal strings of a run are
+   one before, and equal windows of up to ``HOT_WINDOWS`` are one or two rows. So a line in a third
+   of all texts, with other text around it, is spread over all tasks.
 5. Spans go back to their texts by one more join.
 
 Texts are known by a 64-bit hash; equal texts have equal spans and share them. Segments are compared
-byte by byte. A null text is empty; texts shorter than ``WIDTH`` lose nothing. Rows that repeat are
+byte by byte, hot ones by the hashes of their windows. A null text is empty; texts shorter than ``WIDTH`` lose nothing. Rows that repeat are
 texts of their own, so what they share is removed from each. Only doc_id and text are read; doc_id
 may be null. No documents give no rows.
 """
@@ -32,6 +36,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -61,7 +66,12 @@ _PLACE = np.uint64((1 << 24) - 1)
 RUN_BYTES = 32 << 20
 BUCKET_BYTES = 16 << 20
 
+# Segments that one seed may have in a bucket, and windows of hot segments made one in memory.
+HOT_SEGMENTS = 8192
+HOT_WINDOWS = 1 << 17
+
 _SINGLE, _SPAN, _COVERED = 0, 1, 2
+_HOT = 4  # added to the kind of a segment
 
 
 # --- segments ---
@@ -160,31 +170,43 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _rows(seed[chosen], keys[text[chosen]], item[chosen], kind)
 
 
-def _shared_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans, and segments whose seed has another segment; rows come ordered by seed."""
-    held: pa.Table | None = None
+def _shared_seeds(
+    most: int,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Spans, and segments whose seed has another segment; rows come ordered by seed.
 
-    def chosen(table: pa.Table) -> pa.RecordBatch:
-        seed = table.column("seed").to_numpy()
-        kind = table.column("kind").to_numpy()
-        segment = kind != _SPAN
-        places = np.flatnonzero(segment)
-        equal = seed[places][1:] == seed[places][:-1]
-        again = np.zeros(len(seed), bool)
-        again[places[1:][equal]] = again[places[:-1][equal]] = True
-        kept = table.select(["owner", "item", "kind"]).filter(pa.array(again | ~segment))
-        return kept.combine_chunks()
+    Segments of a seed that has more than ``most`` are marked as hot and not held.
+    """
 
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        seed = held.column("seed").to_numpy()
-        if len(seed) and seed[0] != seed[-1]:
-            cut = int(np.searchsorted(seed, seed[-1]))
-            yield from chosen(held.slice(0, cut)).to_batches()
-            held = held.slice(cut)
-    if held is not None:
-        yield from chosen(held).to_batches()
+    def shared_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # of the last seed, which may have more
+        hot: int | None = None  # the last seed, if it is known to be hot
+
+        def chosen(table: pa.Table, count: np.ndarray, is_hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+            again = np.repeat((count > 1) | is_hot, count)
+            kind = table.column("kind").to_numpy() + np.repeat(is_hot, count) * np.int8(_HOT)
+            kept = table.select(["owner", "item"]).append_column("kind", pa.array(kind, pa.int8()))
+            yield from kept.filter(pa.array(again)).combine_chunks().to_batches()
+
+        for batch in batches:
+            is_span = pa.array(batch.column("kind").to_numpy() == _SPAN)
+            yield batch.select(["owner", "item", "kind"]).filter(is_span)
+            found = pa.Table.from_batches([batch.filter(pc.invert(is_span))])
+            table = found if held is None else pa.concat_tables([held, found])
+            seed = table.column("seed").to_numpy()
+            if not len(seed):
+                continue
+            bounds = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1], [True]]))
+            count = np.diff(bounds)
+            is_hot = (count > most) | (seed[bounds[:-1]] == hot if hot is not None else False)
+            hot = int(seed[-1]) if is_hot[-1] else None
+            known = len(count) if is_hot[-1] else len(count) - 1
+            yield from chosen(table.slice(0, bounds[known]), count[:known], is_hot[:known])
+            held = table.slice(bounds[known])
+        if held is not None and held.num_rows:
+            yield from chosen(held, np.array([held.num_rows]), np.array([False]))
+
+    return shared_seeds
 
 
 # --- runs ---
@@ -216,6 +238,7 @@ class _Run:
 
     def __init__(self):
         self.entries: dict[tuple[bytes, int], list[tuple[int, int, int]]] = {}
+        self.hot: dict[tuple[bytes, int], list[tuple[int, int, int]]] = {}
         self.size = 0
 
     def add(self, text: bytes, owner: int, items: list[tuple[int, int]]) -> None:
@@ -226,7 +249,8 @@ class _Run:
             if end > len(text):
                 continue  # another text's, under an equal hash
             key = (text[at:end] + text[low:at][::-1], end - at)
-            self.entries.setdefault(key, []).append((owner, item, kind))
+            entries = self.hot if kind & _HOT else self.entries
+            entries.setdefault(key, []).append((owner, item, kind & ~_HOT))
 
     def blocks(self, buckets: int) -> Iterator[tuple[int, bytes]]:
         dealt: dict[int, list] = {}
@@ -245,18 +269,71 @@ class _Run:
             }
             yield bucket, pack_run([string for string, _ in keys], fields)
 
+    def windows(self) -> Iterator[tuple[list[tuple[int, int]], dict[bytes, list]]]:
+        """Spans of hot segments found to be repeated here, and windows of hot segments by hash:
+        owner and span of one, and whether it is known to be repeated."""
+        spans: list[tuple[int, int]] = []
+        windows: dict[bytes, list] = {}
+        for key in sorted(self.hot):
+            string, right = key
+            refs = self.hot[key]
+            repeated = len(refs) > 1 or any(kind == _COVERED for _, _, kind in refs)
+            if repeated:
+                spans += [((owner, ((item >> 16) - (item >> 8 & 255) << 32)
+                            | ((item >> 16) - (item & 255) + WIDTH))) for owner, item, _ in refs]
+            owner, item, _ = refs[0]
+            low = (item >> 16) - (item >> 8 & 255)
+            body = string[right:][::-1] + string[:right]
+            for i in range(len(body) - WIDTH + 1):
+                span = (low + i << 32) | (low + i + WIDTH)
+                name = xxhash.xxh3_128_digest(body[i : i + WIDTH])
+                other = windows.get(name)
+                if other is None:
+                    windows[name] = [owner, span, repeated]
+                else:
+                    other[2] = True
+                    spans.append((owner, span))
+            if len(windows) >= HOT_WINDOWS:
+                yield spans, windows
+                spans, windows = [], {}
+        if spans or windows:
+            yield spans, windows
+
+
+def _joined(owner: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owners and spans with those that overlap or touch made one."""
+    order = np.lexsort((item, owner))
+    # Owners are numbered for the merge, as hashes are too large to be pushed apart.
+    names, number = np.unique(owner[order], return_inverse=True)
+    number, start, end = _merged(number, item[order] >> 32, item[order] & 0xFFFFFFFF)
+    return names[number], (start << 32) | end
+
 
 def _to_blocks(
     buckets: int,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def rows(bucket: list[int], block: list, owner: list, item: list) -> pa.RecordBatch:
+    def rows(bucket, block: list, owner, item, window=None) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
             {
                 "bucket": pa.array(bucket, pa.int64()), "block": pa.array(block, pa.binary()),
                 "owner": pa.array(owner, pa.int64()), "item": pa.array(item, pa.int64()),
+                "window": pa.array([None] * len(block) if window is None else window, pa.int64()),
             }
         )
 
+    def hot_rows(spans: list[tuple[int, int]], windows: dict[bytes, list]) -> Iterator[pa.RecordBatch]:
+        if spans:
+            owner, item = _joined(*np.array(spans, np.int64).T)
+            yield rows(owner % buckets, [None] * len(owner), owner, item)
+        # A window known to be repeated is there twice, so it is found with any other.
+        twice = np.array([1 + repeated for _, _, repeated in windows.values()])
+        names = np.repeat(np.frombuffer(b"".join(windows), np.int64).reshape(-1, 2), twice, axis=0)
+        places = np.array([ref[:2] for ref in windows.values()], np.int64)
+        places = np.repeat(places.reshape(-1, 2), twice, axis=0)
+        for a in range(0, len(names), 10_000):
+            name, place = names[a : a + 10_000], places[a : a + 10_000]
+            yield rows(name[:, 0], [None] * len(name), place[:, 0], place[:, 1], name[:, 1])
+
     def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         run = _Run()
@@ -264,6 +341,8 @@ def _to_blocks(
         def flush() -> Iterator[pa.RecordBatch]:
             for bucket, block in run.blocks(buckets):
                 yield rows([bucket], [block], [None], [None])
+            for spans, windows in run.windows():
+                yield from hot_rows(spans, windows)
 
         for batch in batches:
             for owner, packed, kinds, items in zip(
@@ -376,36 +455,41 @@ def _merge_bucket(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans as they come, and those of each bucket's blocks; rows come ordered by bucket."""
+    """Spans as they come, those of each bucket's blocks, and windows of hot segments that stand
+    more than once; rows come ordered by bucket and window."""
     bucket, blocks = None, []
+    last = np.zeros((0, 4), np.int64)  # the last window, which the next batch may repeat
 
-    def found() -> pa.RecordBatch:
-        owner, item = _merge_bucket(blocks)
-        order = np.lexsort((item, owner))
-        # Owners are numbered for the merge, as hashes are too large to be pushed apart.
-        names, number = np.unique(owner[order], return_inverse=True)
-        spans = _merged(number, item[order] >> 32, item[order] & 0xFFFFFFFF)
-        return pa.RecordBatch.from_pydict(
-            {"owner": pa.array(names[spans[0]]), "item": pa.array((spans[1] << 32) | spans[2])}
-        )
+    def rows(owner: np.ndarray, item: np.ndarray) -> pa.RecordBatch:
+        owner, item = _joined(owner, item)
+        return pa.RecordBatch.from_pydict({"owner": pa.array(owner), "item": pa.array(item)})
 
     for batch in batches:
-        spans = batch.filter(batch.column("block").is_null()).select(["owner", "item"])
+        is_window = batch.column("window").is_valid()
+        is_span = pc.and_(pc.invert(is_window), batch.column("block").is_null())
+        spans = batch.filter(is_span).select(["owner", "item"])
         if spans.num_rows:
             yield spans
-        for number, block in zip(batch.column("bucket").to_pylist(), batch.column("block")):
-            if not block.is_valid:
-                continue
+        windows = batch.filter(is_window)
+        if windows.num_rows:
+            names = ("bucket", "window", "owner", "item")
+            table = np.concatenate([last, np.stack([windows.column(n).to_numpy() for n in names], 1)])
+            equal = (table[1:, :2] == table[:-1, :2]).all(axis=1)
+            again = np.append(equal, False) | np.append(False, equal)
+            yield rows(table[again, 2], table[again, 3])
+            last = table[-1:]
+        stored = batch.filter(batch.column("block").is_valid())
+        for number, block in zip(stored.column("bucket").to_pylist(), stored.column("block")):
             if number != bucket and blocks:
-                yield found()
+                yield rows(*_merge_bucket(blocks))
                 blocks = []
             bucket = number
             blocks.append(block.as_py())
     if blocks:
-        yield found()
+        yield rows(*_merge_bucket(blocks))
 
 
-def repeated_spans(documents: DataFrame) -> DataFrame:
+def repeated_spans(documents: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """``owner, item`` of a written table: text hash and span (start << 32 | end)."""
     size = documents.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
@@ -413,7 +497,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         _find, "seed long, owner long, item long, kind tinyint"
     )
     shared = found.repartition("seed").sortWithinPartitions("seed").mapInArrow(
-        _shared_seeds, "owner long, item long, kind tinyint"
+        _shared_seeds(hot_segments), "owner long, item long, kind tinyint"
     )
     per_text = shared.groupBy("owner").agg(
         F.collect_set(F.struct("kind", "item")).alias("found")
@@ -422,9 +506,9 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         "owner", "packed", F.col("found.kind").alias("kinds"), F.col("found.item").alias("items")
     )
     blocks = joined.mapInArrow(
-        _to_blocks(buckets), "bucket long, block binary, owner long, item long"
+        _to_blocks(buckets), "bucket long, block binary, owner long, item long, window long"
     )
-    merged = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+    merged = blocks.repartition("bucket").sortWithinPartitions("bucket", "window").mapInArrow(
         _merge, "owner long, item long"
     )
     return save_shared(merged, "spans")
@@ -466,9 +550,9 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeats(documents: DataFrame) -> DataFrame:
+def remove_repeats(documents: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (the bytes left) of every row."""
-    spans = repeated_spans(documents).groupBy("owner").agg(F.collect_set("item").alias("items"))
+    spans = repeated_spans(documents, hot_segments).groupBy("owner").agg(F.collect_set("item").alias("items"))
     return (
         packed_texts(documents)
         .join(spans, "owner", "left")
