@@ -94,3 +94,45 @@ def test_run_equals_the_stages(spark, stages):
                       for r in frame.collect())
 
     assert places(corpus_pipeline.run(spark, SF)) == places(stages["packing"][1])
+
+
+def _kept(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, part string").repartition(3)
+    got = corpus_pipeline.keep_one_of_each_group(spark, frame, SF)
+    assert got.schema == frame.schema
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def _words(name, n=60):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_repeated_rows_leave_one(spark):
+    a, b = _words("a"), _words("b")
+    assert _kept(spark, [(1, a, "x")] * 5 + [(2, a, "x"), (3, b, "y"), (3, b, "y")]) == [
+        (1, a, "x"), (3, b, "y")]
+    assert _kept(spark, [(1, a, "x"), (1, a, "y")]) in ([(1, a, "x")], [(1, a, "y")])
+
+
+def test_texts_that_share_an_id_are_judged_each(spark):
+    a, b = _words("a"), _words("b")
+    # The second row of 2 is a copy of 1's, its first is a document of its own.
+    assert _kept(spark, [(1, a, "x"), (2, b, "x"), (2, a, "x"), (3, b, "x")]) == [
+        (1, a, "x"), (2, b, "x")]
+    # One id leads two groups.
+    assert _kept(spark, [(1, a, "x"), (1, b, "x"), (4, a, "x"), (5, b + " end", "x")]) == [
+        (1, a, "x"), (1, b, "x")]
+    # Near-duplicates under one id.
+    assert len(_kept(spark, [(1, a, "x"), (1, a + " end", "x")])) == 1
+
+
+def test_null_ids_are_judged_each(spark):
+    a, b, c = _words("a"), _words("b"), _words("c")
+    assert _kept(spark, [(None, a, "x")] * 3 + [(None, b, "x"), (7, b, "x"), (None, c, "x")]) == [
+        (7, b, "x"), (None, a, "x"), (None, c, "x")]
+    assert len(_kept(spark, [(None, a, "x"), (None, a + " end", "x")])) == 1
+
+
+def test_blank_texts_stay(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (3, " ", "x"), (None, "", "x"), (4, None, "x")]
+    assert _kept(spark, rows + rows[:1]) == sorted(rows, key=repr)

@@ -29,6 +29,10 @@ nodes that share a bucket.
 A null, empty or blank text has the empty set, and is linked with nothing. The component of a node
 is the least doc_id of its rows, nulls aside. Rows that repeat are copies. Only doc_id and text are
 read; no documents give no rows.
+
+``kept`` tells of a doc_id, which rows may share or lack. ``one_of_each_group`` chooses rows: of each
+component the one of least doc_id, nulls last, and then of least text hash. Rows of one doc_id and
+text are one row, blank ones too.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import (
@@ -395,15 +399,16 @@ def _links_between_labels(
     return save_shared(linked, "more-links")
 
 
-def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row; links from ``percent`` on."""
+def _components(documents: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's description, and ``node, least_id, source, root`` of every node."""
     rows = save_shared(describe(documents), "described")
     nodes = save_shared(
         rows.filter(F.col("node").isNotNull())
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("least_id"),
-            F.min(F.struct("doc_id", "text_key")).alias("source"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+            .alias("source"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
         ),
@@ -426,9 +431,15 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     links = _links(pairs.distinct(), nodes, sets, percent)
     more = _links_between_labels(members, nodes, sets, _labels(links, met), percent)
     roots = connected_components(links.unionByName(more))
-    placed = nodes.select("node", "least_id").join(roots, "node", "left").withColumn(
+    placed = nodes.select("node", "least_id", "source").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
+    return rows, placed
+
+
+def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row; links from ``percent`` on."""
+    rows, placed = _components(documents, percent)
     leaders = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     placed = placed.join(leaders, "root").select("node", "component_id")
     component = F.coalesce("component_id", "doc_id")
@@ -436,3 +447,31 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
         "doc_id", "n_shingles", component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def one_of_each_group(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """The documents without near-duplicates: one row of each component, all columns."""
+    rows, placed = _components(documents, percent)
+    key = ("no_id", "id", "text_key")
+
+    def keyed(frame: DataFrame) -> DataFrame:
+        doc_id = F.col("doc_id").cast("long")
+        return frame.withColumns({"no_id": doc_id.isNull(), "id": F.coalesce(doc_id, F.lit(0))})
+
+    first = placed.groupBy("root").agg(F.min("source").alias("source")).select("source.*")
+    blank = rows.filter(F.col("node").isNull())
+    chosen = first.select("doc_id", "text_key").unionByName(blank.select("doc_id", "text_key"))
+    chosen = keyed(chosen).select(*key).distinct()
+    # Which of the rows of one key stays does not depend on their order. Maps have no hash.
+    ties = [f.name for f in documents.schema if "map<" not in f.dataType.simpleString()]
+    single = keyed(
+        documents.select(
+            "doc_id",
+            F.xxhash64("text").alias("text_key"),
+            F.xxhash64(*[F.col(f"`{name}`") for name in ties]).alias("tie"),
+            F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row"),
+        )
+    )
+    alike = Window.partitionBy(*key).orderBy("tie")
+    single = single.withColumn("place", F.row_number().over(alike)).filter(F.col("place") == 1)
+    return single.join(chosen, list(key)).select("row.*")
