@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import url_filters
+from tidemark.llm import lexical, url_filters
 from tidemark.llm.decontamination import WINDOW
 from tidemark.llm.near_duplicates import SHINGLE
 from tidemark.llm.repeats import WIDTH
@@ -96,6 +96,36 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes,
 FROM docs LEFT JOIN kept USING (rid)"""
 
 
+# What a lexical term is.
+_TERMS = (
+    "regexp_extract_all(" + _LOWER.format("coalesce(text, '')")
+    + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+LEXICAL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ws FROM documents),
+items AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM docs WHERE len(ws) > 0),
+tf AS (
+  SELECT rid, doc_id, n, term, count(*) AS tf
+  FROM (SELECT rid, doc_id, len(ws) AS n, unnest(ws) AS term FROM docs)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))
+                    AS BIGINT) AS w
+  FROM tf, totals GROUP BY term, n_docs),
+parts AS (
+  SELECT rid, doc_id, term, w * ((1000000000 * tf)
+    // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS part
+  FROM tf JOIN weights USING (term), totals),
+scores AS (
+  SELECT item_id, rid, doc_id, CAST(sum(part) AS BIGINT) AS score
+  FROM items JOIN parts USING (term) GROUP BY item_id, rid, doc_id)
+SELECT item_id, doc_id, score, CAST(row_number() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+FROM scores WHERE score > 0 QUALIFY rank <= {lexical.TOP}"""
+
 def url_filters_sql(rules) -> str:
     """The tree of path templates, with the listed rules as a table."""
     listed = ", ".join(f"('{kind}', '{host}', '{path}')" for kind, host, path in rules)
