@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
+    collocations,
     decontamination,
     lexical,
     near_duplicates,
@@ -91,6 +92,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -107,6 +112,7 @@ def queries() -> dict[str, Query]:
         "op8_path_template_filters": op8_path_template_filters,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scan": op10_secret_scan,
+        "op11_phrase_collocations": op11_phrase_collocations,
         "op12_ranked_search": op12_ranked_search,
         "pipeline": corpus_pipeline.run,
     }
@@ -119,6 +125,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_minhash_near_duplicates": oracles.NEAR_DUPLICATES,
         "op3_prefix_filtered_decontamination": oracles.DECONTAMINATION,
         "op4_suffix_merge_repeats": oracles.REPEATS,
-        "op12_ranked_search": oracles.LEXICAL,
         "op8_path_template_filters": oracles.url_filters_sql(URL_RULES),
+        "op11_phrase_collocations": oracles.COLLOCATIONS,
+        "op12_ranked_search": oracles.LEXICAL,
     }

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import LOWER, prefix_sums, slices, substring_hash, texts, words
+from tidemark.llm.bitmaps import gather, perhaps
 from tidemark.sources.shared import save_shared
 
 TOP = 50
@@ -61,10 +62,6 @@ _STATE = "block long, bundle int, lengths binary, items binary, docs binary, sco
 _FOUND = "block long, bundle int, found array<struct<item:int,at:int,score:long>>"
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(20)).astype(np.int64) & (BITS - 1)
-
-
 def _hashed(
     column: pa.Array,
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -82,25 +79,16 @@ def _hashed(
 # --- the filter of the items' words ---
 
 
-def _item_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _item_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for *_, hashes in _hashed(batch.column("text")):
-            # Spark's bitmaps count from 1.
-            yield pa.RecordBatch.from_pydict({"bit": pa.array(np.unique(_bits(hashes)) + 1)})
+            yield pa.RecordBatch.from_pydict({"hash": np.unique(hashes).view(np.int64)})
 
 
 def word_filter(items: DataFrame) -> np.ndarray:
-    """``BITS`` flags, set where a word of an item falls: half a megabyte for any items."""
-    bits = items.select("text").mapInArrow(_item_bits, "bit long")
-    parts = bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")
-    )
-    found = np.zeros(BITS // 8, np.uint8)
-    for row in parts.collect():
-        bitmap = np.frombuffer(bytes(row["bitmap"]), np.uint8)
-        at = (row["bucket"] - 1) * len(bitmap)
-        found[at : at + len(bitmap)] = bitmap[: len(found) - at]
-    return found
+    """A filter of the items' words: half a megabyte for any items."""
+    hashes = items.select("text").mapInArrow(_item_hashes, "hash long")
+    return gather(hashes, F.col("hash"), BITS)
 
 
 # --- postings ---
@@ -110,7 +98,7 @@ class _Block:
     """Documents gathered by one task until the block is full."""
 
     def __init__(self, wanted: np.ndarray):
-        self._flags = np.unpackbits(wanted, bitorder="little").astype(bool)
+        self._wanted = wanted
         self._clear()
         self._number = TaskContext.get().partitionId() << 32
 
@@ -121,7 +109,7 @@ class _Block:
 
     def add(self, ids: list, part, starts, ends, owner, hashes) -> None:
         self._lengths.append(np.bincount(owner, minlength=len(ids)))
-        hit = self._flags[_bits(hashes)]
+        hit = perhaps(self._wanted, hashes)
         kept = hashes[hit]
         self._hashes.append(kept)
         self._docs.append(owner[hit] + self.n_docs)

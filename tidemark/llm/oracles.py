@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import lexical, url_filters
+from tidemark.llm import collocations, lexical, url_filters
 from tidemark.llm.decontamination import WINDOW
 from tidemark.llm.near_duplicates import SHINGLE
 from tidemark.llm.repeats import WIDTH
@@ -126,6 +126,43 @@ SELECT item_id, doc_id, score, CAST(row_number() OVER (
     PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
 FROM scores WHERE score > 0 QUALIFY rank <= {lexical.TOP}"""
 
+COLLOCATIONS = f"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(
+    {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws
+  FROM (SELECT lang, unnest(pieces) AS piece FROM docs)),
+lengths AS (SELECT unnest(range(1, {collocations.LONGEST + 1})) AS k),
+spread AS (
+  SELECT lang, k, list_slice(ws, i, i + k - 1) AS p
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM pieces, lengths)),
+f AS (
+  SELECT lang, k, p, count(*) AS a FROM spread
+  GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+inner_phrases AS (
+  SELECT lang, p, max(a) AS around
+  FROM (SELECT lang, a, list_slice(p, i, i + m - 1) AS p
+        FROM (SELECT f.*, m, unnest(range(1, f.k - m + 2)) AS i
+              FROM f JOIN (SELECT k AS m FROM lengths) ON m >= 2 AND m < f.k))
+  GROUP BY lang, p),
+candidates AS (
+  SELECT f.* FROM f LEFT JOIN inner_phrases USING (lang, p)
+  WHERE k > 1 AND (around IS NULL OR 100 * around < {collocations.INSIDE} * a)),
+cuts AS (
+  SELECT c.lang, c.p, c.a, i, h.a AS l, t.a AS r,
+    (1000000 * c.a::HUGEINT * c.a::HUGEINT) // (h.a::HUGEINT * t.a::HUGEINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates) AS c
+  JOIN f AS h ON h.lang = c.lang AND h.p = list_slice(c.p, 1, i)
+  JOIN f AS t ON t.lang = c.lang AND t.p = list_slice(c.p, i + 1, c.k)),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, i) = 1)
+SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score,
+  row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+FROM lowest JOIN totals USING (lang) QUALIFY rank <= {collocations.TOP}"""
+
 def url_filters_sql(rules) -> str:
     """The tree of path templates, with the listed rules as a table."""
     listed = ", ".join(f"('{kind}', '{host}', '{path}')" for kind, host, path in rules)
