@@ -21,6 +21,6 @@ def test_query_without_twin_has_rows(spark, name):
 
 def test_one_query_for_each_operator():
     names = list(catalog.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names

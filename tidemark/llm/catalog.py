@@ -16,6 +16,7 @@ from tidemark.llm import (
     near_duplicates,
     oracles,
     packing,
+    personal,
     quality,
     repeats,
     secrets,
@@ -100,6 +101,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
@@ -114,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op10_secret_scan": op10_secret_scan,
         "op11_phrase_collocations": op11_phrase_collocations,
         "op12_ranked_search": op12_ranked_search,
+        "op13_personal_data": op13_personal_data,
         "pipeline": corpus_pipeline.run,
     }
 
