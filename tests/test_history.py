@@ -16,6 +16,7 @@ from tidemark.operators.history import (
     history_columns,
     prior_totals,
     prior_totals_by_range,
+    prior_totals_of_rows,
 )
 from tidemark.operators.running import totals_before_day
 from tidemark.operators.splits import (
@@ -254,3 +255,68 @@ def test_a_hot_group_is_split_when_rows_meet_their_histories(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# --- the frame over the rows themselves ---
+
+
+def _plain_earlier(rows):
+    return sorted(
+        (key, day, label, sum(r[2] for r in earlier), len(earlier))
+        for key, day, label in rows
+        for earlier in [[r for r in rows if r[0] == key and r[1] < day]]
+    )
+
+
+@pytest.mark.parametrize("block_days", [1, 4, 16, 1000])
+def test_frame_over_rows_equals_a_plain_sum(spark, block_days):
+    rng = random.Random(block_days)
+    start = dt.date(1969, 12, 1)
+    rows = [
+        ("hot" if i % 3 == 0 else rng.choice("abcd"),
+         start + dt.timedelta(days=rng.randrange(90)), float(rng.random() < 0.4))
+        for i in range(600)
+    ]
+    df = spark.createDataFrame(rows, "route string, flight_date date, label double")
+    found = prior_totals_of_rows(df, ["route"], "route", block_days=block_days)
+    got = sorted(map(tuple, found.collect()))
+    assert got == _plain_earlier(rows)
+
+
+def test_frame_over_rows_equals_day_totals_joined(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("xyz"), dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(60)),
+             float(rng.random() < 0.5), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "route string, flight_date date, label double, id int")
+    by_rows = prior_totals_of_rows(df, ["route"], "route", save=save_shared)
+    totals = prior_totals(day_totals(df, ["route"]), ["route"], "route")
+    joined = df.join(totals, ["route", "flight_date"]).fillna(
+        0, ["hist_route_positives", "hist_route_count"]).select(by_rows.columns)
+    assert by_rows.exceptAll(joined).isEmpty() and joined.exceptAll(by_rows).isEmpty()
+
+
+def test_frame_over_rows_with_nulls(spark):
+    rows = [(None, dt.date(2024, 1, 1), 1.0), (None, dt.date(2024, 3, 1), 0.0),
+            ("a", None, 1.0), ("a", dt.date(2024, 1, 5), 1.0), ("a", dt.date(2024, 1, 6), 0.0)]
+    df = spark.createDataFrame(rows, "route string, flight_date date, label double")
+    found = {(r[0], r[1]): (r[3], r[4])
+             for r in prior_totals_of_rows(df, ["route"], "route").collect()}
+    assert found[None, dt.date(2024, 3, 1)] == (1, 1)
+    assert found["a", None] == (0, 0)
+
+
+def test_a_hot_key_is_never_one_sorted_partition(spark, plan):
+    """One key on a third of the rows: the rows are dealt by key and block of days."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("route"),
+        F.date_add(F.lit(dt.date(2023, 1, 1)), (F.col("id") % 700).cast("int")).alias("flight_date"),
+        (F.col("id") % 2).cast("double").alias("label"),
+    )
+    found = prior_totals_of_rows(df, ["route"], "route", save=save_shared)
+    found.collect()
+    text = plan(found)
+    for line in text.splitlines():
+        if "Exchange hashpartitioning" in line and "route__of_block" not in line:
+            assert "route__block" in line
+    sizes = df.groupBy("route", F.floor(F.unix_date("flight_date") / 16)).count()
+    assert sizes.agg(F.max("count")).first()[0] < 50 < df.filter("route = 'hot'").count()

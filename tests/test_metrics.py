@@ -108,7 +108,28 @@ def test_area_equals_the_evaluators_unbinned_area(spark, seed):
         rawPredictionCol="probability_score", numBins=0
     ).evaluate(df)
     assert roc_auc(df).first()[0] == pytest.approx(exact, abs=1e-12)
-    assert binned_roc_auc(df) == pytest.approx(exact, abs=1e-2)
+
+
+@pytest.mark.parametrize("bins", [1000, 50, 7])
+def test_binned_area_equals_the_evaluators(spark, bins):
+    """In one partition the evaluator cuts its bins as this operator does."""
+    df = scored(spark, random_scores(6, n=4000, digits=5)).coalesce(1)
+    area = BinaryClassificationEvaluator(
+        rawPredictionCol="probability_score", numBins=bins
+    ).evaluate(df)
+    assert binned_roc_auc(df.repartition(5), bins=bins).first()[0] == pytest.approx(area, abs=1e-9)
+
+
+def test_binned_area_by_group_and_at_the_edges(spark):
+    rows = [("one", 0.1, 1.0), ("one", 0.2, 1.0), ("none", 0.3, 0.0), ("both", 0.2, 0.0),
+            ("both", 0.9, 1.0), ("lost", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, probability_score double, label double")
+    found = dict(map(tuple, binned_roc_auc(df, ["g"]).collect()))
+    assert found == {"one": 1.0, "none": 0.0, "both": 1.0}
+    assert found == dict(map(tuple, roc_auc(df, ["g"]).collect()))
+    assert binned_roc_auc(df.filter("g = 'lost'")).first()[0] is None
+    with pytest.raises(ValueError):
+        binned_roc_auc(df, bins=0)
 
 
 def test_area_matches_counting_pairs_by_group(spark):

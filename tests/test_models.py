@@ -2,6 +2,8 @@ import datetime as dt
 import random
 import re
 import statistics
+import threading
+import time
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -17,8 +19,11 @@ from tidemark.operators.logistic import (
     score_rows,
     slot_names,
 )
-from tidemark.operators.preprocess import fit_preprocessor
+from tidemark.operators.optimality import explained_score, gradients, is_flat
+from tidemark.operators.preprocess import fit_preprocessor, median_imputer
+from tidemark.operators.slots import exact_medians
 from tidemark.operators.staging import stage
+from tidemark.plans.concurrent import side_by_side
 from tidemark.sources.csv_files import RAW_COLUMNS
 from tidemark.sources.shared import save_shared
 from tidemark.sources.sinks import load_models, save_models
@@ -68,15 +73,10 @@ def test_numbers_are_filled_and_scaled_by_training_rows(spark, fitted):
     assert got[1][0][1] == 0.0
 
 
-def test_median_takes_an_element(spark):
-    from pyspark.ml.feature import Imputer
-
+def test_median_is_the_exact_lower_one(spark):
     df = spark.range(10000).selectExpr("double(id) AS x").union(
         spark.sql("SELECT CAST(NULL AS double)"))
-    fill = Imputer(inputCols=["x"], outputCols=["y"], strategy="median").fit(df)
-    # An element of the column near the middle, not the mean of the two middle ones.
-    median = fill.surrogateDF.first()["x"]
-    assert median == int(median) and median == pytest.approx(4999.5, abs=10)
+    assert median_imputer(df, ["x"]).surrogateDF.first()["x"] == 4999.0
 
 
 def test_names_and_coefficients(spark, fitted):
@@ -199,3 +199,126 @@ def test_written_tables_are_pruned(spark, plan):
     staged = save_shared(stage(_raw_flights(spark), RunConfig().bounds), "staged")
     text = plan(unique_rows(staged, written=True))
     assert "EqualTo(rejection_reason,ACCEPTED)" in text
+
+
+# --- proof of a fit ---
+
+
+def _changed(spark, model, slot, by):
+    """The model with one coefficient moved."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.common import _py2java
+    from pyspark.ml.linalg import Vectors
+
+    values = model.coefficients.toArray().copy()
+    values[slot] += by
+    kind = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel
+    moved = LogisticRegressionModel(
+        kind("moved", _py2java(spark.sparkContext, Vectors.dense(values)), model.intercept)
+    )
+    return moved.setFeaturesCol("features")
+
+
+@pytest.mark.parametrize("reg_param", [0.0, 0.01, 0.5])
+def test_the_loss_is_flat_at_a_fit_and_nowhere_else(spark, fitted, reg_param):
+    train, preprocessor = fitted
+    features = preprocessor.transform(train)
+    model = fit_logistic(features, reg_param)
+    found = gradients({reg_param: model}, features).orderBy("slot").collect()
+    assert [r["slot"] for r in found] == list(range(-1, 6))
+    assert max(abs(r["gradient"]) for r in found) < 1e-5
+    for slot in (0, 2, 4):
+        moved = gradients({reg_param: _changed(spark, model, slot, 0.05)}, features)
+        red = [r["slot"] for r in moved.filter(~is_flat(0.03)).collect()]
+        assert slot in red
+
+
+def test_gradients_equal_a_plain_sum(spark, fitted):
+    train, preprocessor = fitted
+    features = preprocessor.transform(train)
+    models = {reg: fit_logistic(features, reg, 2) for reg in (0.0, 0.3)}
+    found = {(r["reg_param"], r["slot"]): r for r in gradients(models, features).collect()}
+    for reg, model in models.items():
+        rows = [(r["features"].toArray(), r["label"], r["probability"][1])
+                for r in model.transform(features).collect()]
+        n = len(rows)
+        assert found[reg, -1]["gradient"] == pytest.approx(sum(p - y for _, y, p in rows) / n)
+        for slot, weight in enumerate(model.coefficients):
+            own = sum((p - y) * x[slot] for x, y, p in rows) / n + reg * weight
+            assert found[reg, slot]["gradient"] == pytest.approx(own, abs=1e-12)
+            assert found[reg, slot]["weight"] == pytest.approx(sum(x[slot] for x, *_ in rows) / n)
+
+
+def test_no_gradients_without_rows(spark, fitted):
+    train, preprocessor = fitted
+    features = preprocessor.transform(train)
+    model = fit_logistic(features, 0.1, 2)
+    assert gradients({0.1: model}, features.limit(0)).collect() == []
+
+
+def test_scores_follow_from_the_names_of_coefficients(spark, fitted):
+    train, preprocessor = fitted
+    model = fit_logistic(preprocessor.transform(train), 0.01)
+    table = coefficients(model, preprocessor)
+    later = spark.createDataFrame(
+        [("r", 1.0, 5.0, 0.0), ("new", None, 5.0, 0.0), (None, float("nan"), None, 1.0)], SCHEMA)
+    deviations = {n: statistics.stdev(r[n] for r in train.collect()) for n in NUMBERS}
+    medians = {r["feature"]: r["value"] for r in exact_medians(train, NUMBERS).collect()}
+    scales = spark.createDataFrame(
+        [(n, medians[n], deviations[n]) for n in NUMBERS],
+        "feature string, fill double, deviation double")
+
+    def gaps(table):
+        rows = explained_score(later, table, model.intercept, scales, CATEGORIES, NUMBERS)
+        both = score_rows(model, preprocessor.transform(rows))
+        return [abs(r["probability_score"] - r["explained_score"]) for r in both.collect()]
+
+    assert max(gaps(table)) < 1e-9
+    moved = F.when(F.col("feature_name") == "colour__one_hot_r", F.col("coefficient") + 0.01)
+    wrong = table.withColumn("coefficient", F.coalesce(moved, "coefficient"))
+    assert max(gaps(wrong)) > 1e-4
+
+
+def test_largest_coefficients_come_first(fitted):
+    train, preprocessor = fitted
+    model = fit_logistic(preprocessor.transform(train), 0.0)
+    top = [r["absolute_coefficient"] for r in coefficients(model, preprocessor).limit(3).collect()]
+    assert top == sorted((abs(float(w)) for w in model.coefficients), reverse=True)[:3]
+
+
+# --- side by side ---
+
+
+def test_tasks_run_at_the_same_time_and_keep_their_order(spark):
+    barrier = threading.Barrier(3, timeout=60)
+
+    def task(n):
+        def work():
+            barrier.wait()
+            return spark.range(n).count()
+
+        return work
+
+    found = side_by_side(spark, "count", {n: task(n) for n in (30, 10, 20)})
+    assert found == {30: 30, 10: 10, 20: 20} and list(found) == [30, 10, 20]
+    assert side_by_side(spark, "nothing", {}) == {}
+
+
+def test_a_failure_cancels_the_others(spark):
+    started = threading.Event()
+
+    def slow():
+        rows = spark.range(8).repartition(8).select(
+            F.expr("reflect('java.lang.Thread', 'sleep', 600000L)").alias("x"))
+        started.set()
+        return rows.collect()
+
+    def failing():
+        started.wait(30)
+        time.sleep(1)
+        raise ValueError("no")
+
+    begun = time.monotonic()
+    with pytest.raises(ValueError, match="no"):
+        side_by_side(spark, "mixed", {"slow": slow, "failing": failing})
+    assert time.monotonic() - begun < 60

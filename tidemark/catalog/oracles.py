@@ -329,11 +329,21 @@ def oracle_sql() -> dict[str, str]:
     sql["csv_scan"] = _select(
         RAW, "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in FIELD_HEADERS) + " FROM raw"
     )
-    sql["header_check"] = """
-SELECT * FROM (VALUES
-  ('new', 12, 0, ''), ('old', 12, 0, ''), ('short', 11, 1, 'distance')) AS t(folder, column_count, n_missing, first_missing)"""
-    sql["file_manifest"] = """
-SELECT * FROM (VALUES ('new', 12, TRUE), ('old', 12, TRUE)) AS t(folder, column_count, filled)"""
+    folder = "CASE WHEN CAST(flight_number AS BIGINT) % 2 = 1 THEN 'new' ELSE 'old' END"
+    sql["header_check"] = _select(
+        RAW,
+        f"""
+SELECT {folder} AS folder, 12 AS column_count, 0 AS n_missing, '' AS first_missing,
+  count(*) AS row_count FROM raw GROUP BY folder
+UNION ALL
+SELECT 'short', 11, 1, 'distance', count(*) FROM raw""",
+    )
+    sql["file_manifest"] = _select(
+        RAW,
+        f"""
+SELECT {folder} AS folder, 12 AS column_count, count(*) AS row_count, TRUE AS listed_once,
+  TRUE AS filled FROM raw GROUP BY folder""",
+    )
     sql["quality_report"] = _select(
         ACCEPTED,
         """
@@ -387,6 +397,16 @@ WINDOW w AS (PARTITION BY route ORDER BY flight_date
              RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING)
 QUALIFY row_number() OVER (PARTITION BY route, flight_date) = 1""",
     )
+    sql["history_range_rows"] = _select(
+        ACCEPTED,
+        """
+SELECT flight_key, route, flight_date,
+  CAST(coalesce(sum(label) OVER w, 0) AS BIGINT) AS hist_route_positives,
+  count(*) OVER w AS hist_route_count
+FROM accepted
+WINDOW w AS (PARTITION BY route ORDER BY flight_date
+             RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING)""",
+    )
     rates = ", ".join(
         f"hist_{n}_count, round(hist_{n}_delay_rate, 6) AS hist_{n}_delay_rate"
         for n in ("global", *ENTITIES)
@@ -453,6 +473,25 @@ SELECT flight_key, flight_date, carrier, flight_number, origin, dest, crs_dep_ti
 FROM scored WHERE split = 'test'""",
     )
     sql["roc_auc_exact"] = _select(SCORED + auc_ctes(TEST), "SELECT roc_auc FROM auc")
+    # The distinct scores, highest first, in groups that leave at least a thousand points.
+    sql["roc_auc_binned"] = _select(
+        SCORED + """,
+placed AS (
+  SELECT split, pos, neg, row_number() OVER (PARTITION BY split ORDER BY score DESC) - 1 AS place,
+    count(*) OVER (PARTITION BY split) AS scores
+  FROM (SELECT split, probability_score AS score, sum(label) AS pos, sum(1 - label) AS neg
+        FROM scored GROUP BY split, probability_score)),
+bins AS (
+  SELECT split, place // greatest(scores // 1000, 1) AS bin, sum(pos) AS pos, sum(neg) AS neg
+  FROM placed GROUP BY ALL),
+curve AS (
+  SELECT split, pos, neg, coalesce(sum(pos) OVER (
+    PARTITION BY split ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+  FROM bins)""",
+        """
+SELECT split, round(sum(neg * (above + pos / 2)) / (sum(pos) * sum(neg)), 6) AS roc_auc
+FROM curve GROUP BY split""",
+    )
     curve = SCORED + sweep_ctes(TEST, CURVE)
     sql["roc_curve"] = _select(
         curve,
@@ -568,22 +607,27 @@ given AS (SELECT {given} FROM featured)""" + learned
             for name in CATEGORICAL_FEATURES
         ),
     )
+    sql["rank_slots"] = sql["label_index"]
     odd = "split = 'test' AND day(flight_date) % 2 = 1"
     sql["median_impute"] = _select(
         FEATURED,
         "\nUNION ALL\n".join(
-            f"SELECT '{name}' AS feature, count(*) FILTER ({odd}) AS n_filled,"
-            f" count(*) FILTER (NOT ({odd})) AS n_kept, TRUE AS is_median FROM featured"
+            f"SELECT '{name}' AS feature,"
+            f" round(quantile_disc({name}, 0.5) FILTER (split = 'train'), 6) + 0 AS least_fill,"
+            f" round(quantile_disc({name}, 0.5) FILTER (split = 'train'), 6) + 0 AS most_fill,"
+            f" count(*) FILTER ({odd}) AS n_filled, count(*) FILTER (NOT ({odd})) AS n_kept"
+            " FROM featured"
             for name in NUMERIC_FEATURES
         ),
     )
+    deviations = ", ".join(f"stddev_samp({name}) AS sd_{name}" for name in NUMERIC_FEATURES)
     scaled = ", ".join(
-        f"round({name} / (SELECT stddev_samp({name}) FROM featured WHERE split = 'train'), 6) + 0"
-        f" AS {name}_scaled"
-        for name in NUMERIC_FEATURES
+        f"round({name} / sd_{name}, 6) + 0 AS {name}_scaled" for name in NUMERIC_FEATURES
     )
     sql["std_scale"] = _select(
-        FEATURED, f"SELECT flight_key, {scaled} FROM featured WHERE NOT ({odd})"
+        FEATURED + f""",
+deviations AS (SELECT {deviations} FROM featured WHERE split = 'train')""",
+        f"SELECT flight_key, {scaled} FROM featured, deviations WHERE NOT ({odd})",
     )
     tried = ", ".join(f"({i}, {r!r}::DOUBLE)" for i, r in enumerate(ModelGrid().reg_params))
     points = ", ".join(f"({i}, {t!r}::DOUBLE)" for i, t in enumerate(THRESHOLDS))
@@ -593,13 +637,13 @@ given AS (SELECT {given} FROM featured)""" + learned
 SELECT CAST(r.i * {len(THRESHOLDS)} + t.i AS INTEGER) AS position, reg_param, threshold,
   {ModelGrid().max_iterations} AS max_iterations, count(*) AS row_count,
   CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives,
-  TRUE AS in_range
+  TRUE AS in_range, TRUE AS is_flat
 FROM accepted, (VALUES {tried}) AS r(i, reg_param), (VALUES {points}) AS t(i, threshold)
 WHERE split = 'validation' GROUP BY ALL""",
     )
     sql["score_model"] = _select(
         ACCEPTED,
-        f"SELECT {', '.join(PREDICTION_COLUMNS[:-2])}, TRUE AS is_probability, TRUE AS is_class"
+        f"SELECT {', '.join(PREDICTION_COLUMNS[:-2])}, TRUE AS is_explained, TRUE AS is_class"
         " FROM accepted WHERE split = 'test'",
     )
     slots = "\nUNION ALL\n".join(
@@ -615,10 +659,32 @@ WHERE split = 'validation' GROUP BY ALL""",
         FEATURED,
         f"""
 SELECT CAST(row_number() OVER (ORDER BY part, place) - 1 AS INTEGER) AS feature_index,
-  feature_name, TRUE AS agrees
+  feature_name, TRUE AS agrees, TRUE AS is_flat
 FROM ({slots}
 UNION ALL
 {numbers})""",
+    )
+    means = "\nUNION ALL\n".join(
+        f"SELECT {i} AS part, row_number() OVER (ORDER BY count(*) DESC, {name}) AS place,"
+        f" CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM train) AS weight FROM train"
+        f" GROUP BY {name} UNION ALL SELECT {i}, 1000000000, 0"
+        for i, name in enumerate(CATEGORICAL_FEATURES)
+    )
+    number_means = "\nUNION ALL\n".join(
+        f"SELECT 100, {i}, avg({name}) / stddev_samp({name}) FROM train"
+        for i, name in enumerate(NUMERIC_FEATURES)
+    )
+    sql["fit_gradients"] = _select(
+        FEATURED + """,
+train AS (SELECT * FROM featured WHERE split = 'train')""",
+        f"""
+SELECT reg_param, CAST(slot AS INTEGER) AS slot, round(weight, 6) + 0 AS weight, TRUE AS is_flat
+FROM (SELECT row_number() OVER (ORDER BY part, place) - 2 AS slot, weight
+      FROM (SELECT -1 AS part, 0 AS place, 1e0 AS weight
+UNION ALL
+{means}
+UNION ALL
+{number_means})), (VALUES {tried}) AS r(i, reg_param)""",
     )
     sql["top_coefficients"] = "SELECT TRUE AS none_left_out, TRUE AS enough"
     sql["calibration"] = _select(

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from tidemark.operators.history import (
     history_table,
     prior_totals,
     prior_totals_by_range,
+    prior_totals_of_rows,
     smoothed_rate,
 )
 from tidemark.operators.logistic import (
@@ -44,10 +46,18 @@ from tidemark.operators.logistic import (
     score_rows,
     scored_grid_metrics,
 )
-from tidemark.operators.preprocess import fit_preprocessor
+from tidemark.operators.optimality import explained_score, is_flat
+from tidemark.operators.preprocess import (
+    SCALED,
+    category_stages,
+    fit_preprocessor,
+    median_imputer,
+    number_stages,
+)
 from tidemark.operators.quality import quality_report, reason_counts
-from tidemark.operators.ranking import roc_auc
+from tidemark.operators.ranking import binned_roc_auc, roc_auc
 from tidemark.operators.selection import best_per_group, select_best
+from tidemark.operators.slots import attach_slots, exact_medians, saved_slots
 from tidemark.operators.splits import (
     add_split,
     class_distribution,
@@ -157,21 +167,36 @@ def _folder_name() -> F.Column:
     return F.regexp_extract("path", "/([a-z]+)/[^/]*$", 1).alias("folder")
 
 
+def _rows_by_file(spark, folder: str) -> DataFrame:
+    """Rows below the header line of every CSV file that has one."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text([f"{folder}/*"])
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("path")
+    return lines.groupBy(path).agg((F.count("*") - 1).alias("row_count"))
+
+
 def checked_headers(spark, sf_dir):
-    """Headers of good files and of files without a column."""
+    """Per folder, the rows of its files by what their headers lack."""
     folder = _csv_folder(spark, sf_dir)
     raw = bind.flights_raw(spark, sf_dir)
     write_raw_csv(raw.drop("Distance"), f"{folder}/short")
-    found = header_check(spark, [f"{folder}/*"])
-    return found.select(
-        _folder_name(), "column_count", F.size("missing").alias("n_missing"),
-        F.coalesce(F.get("missing", F.lit(0)), F.lit("")).alias("first_missing"),
-    ).distinct()
+    found = header_check(spark, [f"{folder}/*"]).join(_rows_by_file(spark, folder), "path")
+    missing = F.coalesce(F.get("missing", F.lit(0)), F.lit("")).alias("first_missing")
+    return found.groupBy(
+        _folder_name(), "column_count", F.size("missing").alias("n_missing"), missing
+    ).agg(F.sum("row_count").alias("row_count"))
 
 
 def manifest(spark, sf_dir):
-    found = file_manifest(spark, [f"{_csv_folder(spark, sf_dir)}/*"])
-    return found.select(_folder_name(), "column_count", (F.col("bytes") > 0).alias("filled")).distinct()
+    """Per folder, the rows of the files listed, and whether each file that holds rows is listed
+    once, with as many bytes as a reader finds lines for at least."""
+    folder = _csv_folder(spark, sf_dir)
+    listed = file_manifest(spark, [f"{folder}/*"])
+    both = _rows_by_file(spark, folder).join(listed, "path", "left")
+    return both.groupBy(_folder_name(), "column_count").agg(
+        F.sum("row_count").alias("row_count"),
+        (F.count_distinct("path") == F.count("bytes")).alias("listed_once"),
+        F.min(F.col("bytes") > F.col("row_count") * F.col("column_count")).alias("filled"),
+    )
 
 
 def prediction_sink(spark, sf_dir):
@@ -223,6 +248,13 @@ def history_range_frame(spark, sf_dir):
     return prior_totals_by_range(totals, ["route"], "route")
 
 
+def history_range_rows(spark, sf_dir):
+    """The strictly earlier frame over the accepted rows themselves."""
+    rows = bind.saved_accepted(spark, sf_dir).select("flight_key", "route", "flight_date", "label")
+    found = prior_totals_of_rows(rows, ["route"], "route", save=save_shared)
+    return found.drop("label")
+
+
 def smoothed_rates(spark, sf_dir):
     rows = bind.with_history(bind.saved_accepted(spark, sf_dir))
     return rounded(rows.select("flight_key", *history_columns()))
@@ -311,6 +343,11 @@ def roc_auc_exact(spark, sf_dir):
     return rounded(roc_auc(test_rows(spark, sf_dir)))
 
 
+def roc_auc_binned(spark, sf_dir):
+    """The evaluator's area over a curve of about a thousand points, for every split."""
+    return rounded(binned_roc_auc(bind.scored(spark, sf_dir), by=["split"]))
+
+
 def roc_curve(spark, sf_dir):
     metrics = threshold_metrics(test_rows(spark, sf_dir), even_grid(CURVE_POINTS))
     return rounded(roc_points(metrics))
@@ -397,22 +434,21 @@ def _featured(spark, sf_dir) -> DataFrame:
     return save_shared(bind.featured(spark, sf_dir), "featured", by=["split"])
 
 
-def _preprocessed(spark, sf_dir) -> DataFrame:
-    """All rows through the preprocessor fitted on the training split.
+def _scheduled(spark, sf_dir) -> DataFrame:
+    """Accepted rows with their schedule features and split: all that the categories need."""
+    rows = add_schedule_features(bind.saved_accepted(spark, sf_dir))
+    return add_split(rows, bind.BOUNDS)
 
-    Test rows get category values that training has not seen, and lose every number whose row has
-    an odd day of the month, so that both fall-backs are used.
-    """
-    featured = _featured(spark, sf_dir)
-    model = fit_preprocessor(featured.filter("split = 'train'"))
+
+def _with_unseen(rows: DataFrame) -> DataFrame:
+    """Test rows get category values that training has not seen."""
     test = F.col("split") == "test"
-    unseen = {
-        name: F.when(test, F.concat(F.col(name), F.lit("?"))).otherwise(F.col(name))
-        for name in spec.CATEGORICAL_FEATURES
-    }
-    odd = test & (F.dayofmonth("flight_date") % 2 == 1)
-    missing = {name: F.when(~odd, F.col(name)) for name in spec.NUMERIC_FEATURES}
-    return model.transform(featured.withColumns({**unseen, **missing}))
+    return rows.withColumns(
+        {
+            name: F.when(test, F.concat(F.col(name), F.lit("?"))).otherwise(F.col(name))
+            for name in spec.CATEGORICAL_FEATURES
+        }
+    )
 
 
 def _per_category(columns: Callable[[str], list]) -> F.Column:
@@ -426,19 +462,43 @@ def _per_category(columns: Callable[[str], list]) -> F.Column:
     )
 
 
+def _encoded_values(spark, sf_dir, stages: list) -> DataFrame:
+    """Every distinct category value of all rows with its count, through stages fitted on training.
+
+    A value stands in its own feature's column; the other columns are null.
+    """
+    rows = _scheduled(spark, sf_dir)
+    fitted = Pipeline(stages=stages).fit(rows.filter("split = 'train'"))
+    values = _with_unseen(rows).select(_per_category(lambda name: []))
+    counted = values.groupBy("feature", "value").agg(F.count("*").alias("row_count"))
+    alone = {
+        name: F.when(F.col("feature") == name, F.col("value"))
+        for name in spec.CATEGORICAL_FEATURES
+    }
+    return fitted.transform(counted.withColumns(alone))
+
+
+def _own(columns: str) -> F.Column:
+    """Of one column per category, that of the row's own feature."""
+    return F.coalesce(
+        *[
+            F.when(F.col("feature") == name, F.col(columns.format(name)))
+            for name in spec.CATEGORICAL_FEATURES
+        ]
+    )
+
+
 def label_index(spark, sf_dir):
-    rows = _preprocessed(spark, sf_dir)
-    pairs = rows.select(_per_category(lambda name: [F.col(f"{name}__index").alias("slot")]))
-    return pairs.groupBy("feature", "value", "slot").agg(F.count("*").alias("row_count"))
+    rows = _encoded_values(spark, sf_dir, category_stages()[:1])
+    return rows.select("feature", "value", _own("{}__index").alias("slot"), "row_count")
 
 
 def one_hot_slots(spark, sf_dir):
-    rows = _preprocessed(spark, sf_dir)
-    hot = rows.select(
-        _per_category(lambda name: [vector_to_array(F.col(f"{name}__one_hot")).alias("hot")])
-    )
-    counted = hot.groupBy("feature", "value", "hot").agg(F.count("*").alias("row_count"))
-    return counted.select(
+    rows = _encoded_values(spark, sf_dir, category_stages())
+    dense = {f"{name}__dense": vector_to_array(f"{name}__one_hot")
+             for name in spec.CATEGORICAL_FEATURES}
+    hot = rows.withColumns(dense).withColumn("hot", _own("{}__dense"))
+    return hot.select(
         "feature", "value",
         (F.array_position("hot", 1.0) - 1).cast("int").alias("slot"),
         F.size("hot").alias("width"),
@@ -446,9 +506,26 @@ def one_hot_slots(spark, sf_dir):
     )
 
 
+def ranked_slots(spark, sf_dir):
+    """The slots of ``label_index`` from a table of ranks, joined to all rows."""
+    rows = _scheduled(spark, sf_dir)
+    slots = saved_slots(rows.filter("split = 'train'"))
+    indexed = attach_slots(_with_unseen(rows), slots)
+    pairs = indexed.select(_per_category(lambda name: [F.col(f"{name}__index").alias("slot")]))
+    return pairs.groupBy("feature", "value", "slot").agg(F.count("*").alias("row_count"))
+
+
+def _with_gaps(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The training rows, and all rows; test rows of odd days of the month lose every number."""
+    rows = _featured(spark, sf_dir)
+    odd = (F.col("split") == "test") & (F.dayofmonth("flight_date") % 2 == 1)
+    gaps = {name: F.when(~odd, F.col(name)) for name in spec.NUMERIC_FEATURES}
+    return rows.filter("split = 'train'"), rows.withColumns(gaps)
+
+
 def median_impute(spark, sf_dir):
-    """Per number: rows filled, and whether what fills them splits the training rows in halves."""
-    rows = _preprocessed(spark, sf_dir)
+    """Per number: what fills the missing ones, and rows filled and kept."""
+    train, rows = _with_gaps(spark, sf_dir)
     numbers = F.inline(
         F.array(
             *[
@@ -458,31 +535,24 @@ def median_impute(spark, sf_dir):
             ]
         )
     )
-    long = rows.select("split", numbers)
-    fill = long.groupBy("feature").agg(
-        F.max(F.when(F.col("given").isNull(), F.col("used"))).alias("most"),
-        F.min(F.when(F.col("given").isNull(), F.col("used"))).alias("least"),
-    )
-    train = (F.col("split") == "train").cast("long")
-    counted = long.join(fill, "feature").groupBy("feature").agg(
-        F.sum(F.col("given").isNull().cast("long")).alias("n_filled"),
-        F.sum((F.col("given") == F.col("used")).cast("long")).alias("n_kept"),
-        F.sum(train).alias("n"),
-        F.sum(F.when(F.col("given") < F.col("least"), train).otherwise(0)).alias("below"),
-        F.sum(F.when(F.col("given") > F.col("most"), train).otherwise(0)).alias("above"),
-        F.max(F.col("most") == F.col("least")).alias("one_value"),
-    )
-    halves = F.greatest("below", "above") <= F.col("n") * 0.502
-    return counted.select(
-        "feature", "n_filled", "n_kept", (halves & F.col("one_value")).alias("is_median")
+    long = median_imputer(train).transform(rows).select(numbers)
+    missing = F.col("given").isNull()
+    return rounded(
+        long.groupBy("feature").agg(
+            F.min(F.when(missing, F.col("used"))).alias("least_fill"),
+            F.max(F.when(missing, F.col("used"))).alias("most_fill"),
+            F.count_if(missing).alias("n_filled"),
+            F.count_if(F.col("given") == F.col("used")).alias("n_kept"),
+        )
     )
 
 
 def std_scale(spark, sf_dir):
-    values = vector_to_array("numeric_features_scaled")
-    rows = _preprocessed(spark, sf_dir).filter(F.col("distance").isNotNull())
+    train, rows = _with_gaps(spark, sf_dir)
+    values = vector_to_array(SCALED)
+    scaled = Pipeline(stages=number_stages(train)).fit(train).transform(rows)
     return rounded(
-        rows.select(
+        scaled.filter(F.col("distance").isNotNull()).select(
             "flight_key",
             *[values[i].alias(f"{name}_scaled") for i, name in enumerate(spec.NUMERIC_FEATURES)],
         )
@@ -501,37 +571,83 @@ def _fitted(spark, sf_dir):
     return fit_run(_featured(spark, sf_dir), spec.RunConfig(bounds=bind.BOUNDS))
 
 
+# A fitted coefficient is less than this away from the least loss along its slot. The solver stops at
+# a hundred steps, which leaves up to 0.013 on the given tables where penalties are large.
+FLAT = 0.03
+
+
 def fit_select(spark, sf_dir):
-    """The whole grid: what no model can change, and that the rest is in range."""
-    grid = _fitted(spark, sf_dir).grid
+    """The whole grid: what no model can change, that the rest is in range, and that every slot of
+    the penalty's model is where its loss is flat."""
+    fitted = _fitted(spark, sf_dir)
+    flat = fitted.grid_gradients.groupBy("reg_param").agg(F.min(is_flat(FLAT)).alias("is_flat"))
     tp, fp, tn, fn = (F.col(n) for n in COUNTS)
     inside = F.lit(True)
     for name in ("accuracy", "precision", "recall", "f1", "specificity", "roc_auc"):
         inside = inside & F.col(name).between(0.0, 1.0)
-    return grid.select(
+    return fitted.grid.join(flat, "reg_param").select(
         "position", "reg_param", "threshold", "max_iterations", "row_count",
         (tp + fn).alias("positives"), (fp + tn).alias("negatives"), inside.alias("in_range"),
+        "is_flat",
+    )
+
+
+def fit_gradients(spark, sf_dir):
+    """Every slot of every penalty's model, with its mean over the training rows, and whether the
+    loss is flat there."""
+    found = _fitted(spark, sf_dir).grid_gradients
+    return rounded(found.select("reg_param", "slot", "weight", is_flat(FLAT).alias("is_flat")))
+
+
+def _number_scales(rows: DataFrame) -> DataFrame:
+    """Median and deviation of every number, straight from the rows."""
+    deviations = rows.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("feature"), F.col(name).alias("given"))
+                    for name in spec.NUMERIC_FEATURES
+                ]
+            )
+        )
+    )
+    deviations = deviations.groupBy("feature").agg(F.stddev_samp("given").alias("deviation"))
+    return exact_medians(rows).join(deviations, "feature").select(
+        "feature", F.col("value").alias("fill"), "deviation"
     )
 
 
 def score_model(spark, sf_dir):
-    """The scored test rows; of the score, that it is a probability."""
-    rows = _fitted(spark, sf_dir).predictions
+    """The scored test rows; of the score, that it is the one that the named coefficients give."""
+    featured = _featured(spark, sf_dir)
+    fitted = fit_run(featured, spec.RunConfig(bounds=bind.BOUNDS))
+    test = explained_score(
+        featured.filter("split = 'test'"), fitted.coefficients, fitted.model.intercept,
+        _number_scales(featured.filter("split <> 'test'")),
+    )
+    rows = fitted.predictions.join(test.select("flight_key", "explained_score"), "flight_key")
     score = F.col("probability_score")
+    threshold = F.lit(fitted.best["threshold"])
     return rows.select(
         *spec.PREDICTION_COLUMNS[:-2],
-        ((score > 0) & (score < 1)).alias("is_probability"),
-        F.col("prediction").isin(0.0, 1.0).alias("is_class"),
+        (F.abs(score - F.col("explained_score")) < 1e-9).alias("is_explained"),
+        (F.col("prediction") == (score >= threshold).cast("double")).alias("is_class"),
     )
 
 
 def coefficient_table(spark, sf_dir):
-    """Every slot's name and place; of the coefficients, that sign, size and direction agree."""
+    """Every slot's name and place; that sign, size and direction agree, and that the loss of the
+    returned model is flat at the slot."""
+    fitted = _fitted(spark, sf_dir)
     value, size = F.col("coefficient"), F.col("absolute_coefficient")
     sign = F.when(value > 0, DIRECTIONS[1]).when(value < 0, DIRECTIONS[-1]).otherwise(DIRECTIONS[0])
-    return _fitted(spark, sf_dir).coefficients.select(
+    gradient = fitted.gradients.select(
+        F.col("slot").alias("feature_index"), F.col("coefficient").alias("fitted"), "gradient"
+    )
+    return fitted.coefficients.join(gradient, "feature_index").select(
         "feature_index", "feature_name",
         ((size == F.abs(value)) & (F.col("direction") == sign)).alias("agrees"),
+        ((value == F.col("fitted")) & is_flat(FLAT)).alias("is_flat"),
     )
 
 
@@ -644,6 +760,7 @@ def queries() -> dict[str, Query]:
         "entity_daily": entity_daily,
         **{f"history_{name}": entity_history(name) for name in spec.ENTITIES},
         "history_range_frame": history_range_frame,
+        "history_range_rows": history_range_rows,
         "smoothed_rates": smoothed_rates,
         "cyclical_time": cyclical_time,
         "calendar_fields": calendar_fields,
@@ -657,6 +774,7 @@ def queries() -> dict[str, Query]:
         "threshold_eval": threshold_eval,
         "apply_threshold": thresholded,
         "roc_auc_exact": roc_auc_exact,
+        "roc_auc_binned": roc_auc_binned,
         "roc_curve": roc_curve,
         "pr_curve": pr_curve,
         "majority_class": majority,
@@ -669,10 +787,12 @@ def queries() -> dict[str, Query]:
         "top_errors": errors,
         "label_index": label_index,
         "one_hot_slots": one_hot_slots,
+        "rank_slots": ranked_slots,
         "median_impute": median_impute,
         "std_scale": std_scale,
         "score_fixed": score_fixed,
         "fit_select": fit_select,
+        "fit_gradients": fit_gradients,
         "score_model": score_model,
         "coefficients": coefficient_table,
         "top_coefficients": top_coefficients,

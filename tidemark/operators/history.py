@@ -75,6 +75,69 @@ def prior_totals_by_range(
     )
 
 
+def prior_totals_of_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    date: str = "flight_date",
+    label: str = "label",
+    block_days: int = 16,
+    save: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
+    """Every row with ``hist_<name>_positives`` and ``hist_<name>_count``: the totals of its key over
+    all strictly earlier dates, by a value-range frame over the rows themselves.
+
+    The frame has two levels. Days are cut into blocks of ``block_days``; a window over the sums of a
+    key's blocks tells what lies before a block, and a range frame over day numbers, inside the
+    block alone, adds the earlier days of it. So the rows of one key are sorted in as many
+    partitions as it has blocks, never in one. ``save`` (such as ``save_shared``) writes the sums of
+    blocks, whose size then decides how they are joined. A null date is before all others and has
+    no earlier one; a null in a key is a value like any other.
+    """
+    if block_days < 1:
+        raise ValueError(f"a block has at least one day, got {block_days}")
+    save = save or (lambda table, name: table)
+    day, block = f"{name}__day", f"{name}__block"
+    positives, count = f"hist_{name}_positives", f"hist_{name}_count"
+    least = F.lit(0).cast("long")
+    numbered = df.withColumn(day, F.unix_date(date))
+    numbered = numbered.withColumn(block, F.floor(F.col(day) / F.lit(block_days)))
+    one = F.col(label).cast("long")
+    sums = numbered.groupBy(*keys, block).agg(
+        F.sum(one).alias("positives"), F.count("*").alias("rows")
+    )
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = save(
+        sums.select(
+            *[F.col(key).alias(f"{key}__of_block") for key in keys],
+            F.col(block).alias(f"{block}__of_block"),
+            F.coalesce(F.sum("positives").over(before), least).alias("positives_before"),
+            F.coalesce(F.sum("rows").over(before), least).alias("rows_before"),
+        ),
+        f"blocks-{name}",
+    )
+    inside = (
+        Window.partitionBy(*keys, block)
+        .orderBy(day)
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    framed = numbered.withColumns(
+        {
+            positives: F.coalesce(F.sum(one).over(inside), least),
+            count: F.count(F.lit(1)).over(inside),
+        }
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"{c}__of_block")) for c in (*keys, block)]
+    joined = framed.join(blocks, same, "left")
+    # A row frame would count rows without a date as earlier than all others.
+    dated = F.col(day).isNotNull()
+    return joined.select(
+        *df.columns,
+        F.when(dated, F.col(positives) + F.col("positives_before")).otherwise(least).alias(positives),
+        F.when(dated, F.col(count) + F.col("rows_before")).otherwise(least).alias(count),
+    )
+
+
 def global_prior(
     totals: DataFrame, default_rate: float, date: str = "flight_date", rate: str = "delay_rate"
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tidemark import spec
 from tidemark.operators.logistic import coefficients, fit_logistic, grid_metrics, score_rows
+from tidemark.operators.optimality import gradients
 from tidemark.operators.preprocess import fit_preprocessor
 from tidemark.operators.selection import select_best
-from tidemark.operators.sweep import SCORE, apply_threshold
+from tidemark.operators.sweep import apply_threshold
+from tidemark.plans.concurrent import side_by_side
 from tidemark.sources.shared import kept, save_shared
 
 
@@ -25,6 +28,9 @@ class Fitted:
     model: LogisticRegressionModel
     predictions: DataFrame
     coefficients: DataFrame
+    # Of every penalty on the training period, and of the returned model on what it was fitted on.
+    grid_gradients: DataFrame
+    gradients: DataFrame
 
 
 def _model_input(preprocessor: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -43,19 +49,24 @@ def fit_run(featured: DataFrame, config: spec.RunConfig) -> Fitted:
     train_input = _model_input(preprocessor, train)
     validation_input = _model_input(preprocessor, validation)
     with kept(train_input, validation_input):
-        models = {
-            reg: fit_logistic(train_input, reg, grid.max_iterations) for reg in grid.reg_params
-        }
+        train_input.count()
+        fits = {reg: partial(fit_logistic, train_input, reg, grid.max_iterations)
+                for reg in grid.reg_params}
+        models = side_by_side(featured.sparkSession, "penalty", fits)
         tried = save_shared(grid_metrics(models, validation_input, grid), "grid")
+        tried_gradients = save_shared(gradients(models, train_input), "gradients")
     best = select_best(tried, grid.thresholds).first()
-    model = models[best["reg_param"]]
+    reg_param = best["reg_param"]
+    model = models[reg_param]
+    own_gradients = tried_gradients.filter(F.col("reg_param") == reg_param)
 
     if config.refit:
         both = train.unionByName(validation)
         preprocessor = fit_preprocessor(both)
         both_input = _model_input(preprocessor, both)
         with kept(both_input):
-            model = fit_logistic(both_input, best["reg_param"], grid.max_iterations)
+            model = fit_logistic(both_input, reg_param, grid.max_iterations)
+            own_gradients = save_shared(gradients({reg_param: model}, both_input), "gradients")
 
     features = preprocessor.transform(test)
     scored = apply_threshold(score_rows(model, features).drop("prediction"), best["threshold"])
@@ -69,4 +80,6 @@ def fit_run(featured: DataFrame, config: spec.RunConfig) -> Fitted:
         model=model,
         predictions=predictions,
         coefficients=coefficients(model, preprocessor),
+        grid_gradients=tried_gradients,
+        gradients=own_gradients,
     )
