@@ -642,7 +642,8 @@ def coefficient_table(spark, sf_dir):
     value, size = F.col("coefficient"), F.col("absolute_coefficient")
     sign = F.when(value > 0, DIRECTIONS[1]).when(value < 0, DIRECTIONS[-1]).otherwise(DIRECTIONS[0])
     gradient = fitted.gradients.select(
-        F.col("slot").alias("feature_index"), F.col("coefficient").alias("fitted"), "gradient"
+        F.col("slot").alias("feature_index"), F.col("coefficient").alias("fitted"),
+        "gradient", "curvature",
     )
     return fitted.coefficients.join(gradient, "feature_index").select(
         "feature_index", "feature_name",
