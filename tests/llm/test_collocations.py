@@ -80,7 +80,7 @@ def test_tally_counts_every_kind_of_tile(monkeypatch):
     rng = np.random.default_rng(1)
     codes = np.unique(rng.integers(0, 1 << 63, 100, dtype=np.uint64))
     ranked = rng.permutation(codes)[:50]
-    ranks = np.argsort(ranked)
+    ranks = np.argsort(ranked).astype(np.int32)
     level = co.Known(np.zeros(1, np.uint8), ranked, ranked[ranks], ranks)
     # Small ranks are frequent, and some codes have no rank.
     pick = np.append(ranked, codes[:30])

@@ -31,11 +31,12 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import LOWER, mix, prefix_sums, ragged, slices, substring_hash, texts, words
 from tidemark.llm.bitmaps import gather, perhaps
+from tidemark.operators.ordering import number_rows
 from tidemark.sources.shared import save_shared
 
 LEAST = 10
@@ -154,10 +155,10 @@ class Known:
     def rank(self, codes: np.ndarray) -> np.ndarray:
         """Rank of each code, -1 beyond the ranks."""
         if not len(self.codes):
-            return np.full(len(codes), -1)
+            return np.full(len(codes), -1, np.int32)
         at = np.searchsorted(self.in_order, codes)
         at[at == len(self.in_order)] = 0
-        return np.where(self.in_order[at] == codes, self.ranks[at], -1)
+        return np.where(self.in_order[at] == codes, self.ranks[at], np.int32(-1))
 
 
 def known(frequent: DataFrame) -> Known:
@@ -179,7 +180,7 @@ def known(frequent: DataFrame) -> Known:
         top = frequent.filter(size >= least).select("code", "n").toArrow()
         codes, counts = top["code"].to_numpy().view(np.uint64), top["n"].to_numpy()
     codes = codes[np.lexsort((codes, -counts))]
-    ranks = np.argsort(codes)
+    ranks = np.argsort(codes).astype(np.int32)
     return Known(gather(frequent, F.col("code"), BITS), codes, codes[ranks], ranks)
 
 
@@ -207,7 +208,7 @@ def tally(
     sizes = np.bincount(tile, minlength=across * across)
     dense = sizes >= DENSE
     inside = dense[tile]
-    cells = np.sort(a[~inside] * RANKED + b[~inside])
+    cells = np.sort(a[~inside].astype(np.int64) * RANKED + b[~inside])
     if len(cells):
         at = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
         counts = np.diff(np.append(at, len(cells)))
@@ -381,9 +382,10 @@ def collocations(
         F.col("around").isNull() | (100 * F.col("around") < inside * F.col("a"))
     )
     scored = _weakest_cuts(left.drop("around"), every)
+    # Slices of the order are ranked each, so a language is never one task.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    best = scored.withColumn("rank", rank).filter(F.col("rank") <= top)
+    best = number_rows(scored, order, ["lang"]).filter(F.col("place") < top)
     return best.join(totals, "lang").select(
-        "lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score"
+        "lang", (F.col("place") + 1).cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
+        "score",
     )
