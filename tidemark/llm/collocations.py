@@ -49,7 +49,7 @@ RANKED = 1 << 16
 TILE = 512
 # A tile with this many pairs of a buffer is counted by direct address.
 DENSE = TILE * TILE // 8
-BUFFER = 1 << 21
+BUFFER = 1 << 20
 BITS = 1 << 25
 _ROWS = 1 << 17
 
