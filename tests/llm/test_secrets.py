@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -125,3 +126,17 @@ def test_redaction(spark, odd_documents):
         if not _plain_all(HARD[row["doc_id"]]):
             assert row["text"] == HARD[row["doc_id"]]
     assert secrets.redact(odd_documents).exceptAll(odd_documents).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["eyJ", "eyJabcdefgh.", "a", "password", "password ", "token = ", "AKIA", "AKIA0 ", "deadbeef",
+     "f ", "gho_", "xoxa-", "xoxa ", "bearer ", "abc://", "abc://h:", "abc://h:secret", "a@", ":",
+     "-----BEGIN PRIVATE KEY-----", "-----BEGIN A PRIVATE KEY-----\n", "-----END "],
+)
+def test_hostile_texts_take_linear_time(unit):
+    text = unit * (5_000_000 // len(unit))
+    begun = time.monotonic()
+    for rule in secrets.RULES:
+        rule.spans(text)
+    assert time.monotonic() - begun < 20

@@ -7,6 +7,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidemark.llm import charmodel, toxicity
 from tidemark.llm.arrays import texts
@@ -81,6 +83,37 @@ def test_flags_miss_nothing(model, documents):
     assert all(flags[i] for i, text in enumerate(rows) if restorer.text(text)[1])
 
 
+ALPHABET = "aZbö1é0@$!|+*_ .-\n“я"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=14), min_size=1, max_size=6))
+def test_a_text_is_flagged_and_restored_whatever_stands_beside_it(model, rows):
+    restorer = charmodel.Restorer(model)
+    flags = charmodel.may_be_obfuscated(*texts(pa.array(rows)))
+    alone = [charmodel.may_be_obfuscated(*texts(pa.array([row])))[0] for row in rows]
+    assert flags.tolist() == alone
+    for row, flag in zip(rows, flags):
+        assert flag or restorer.text(row) == (row, 0)
+
+
+@pytest.mark.parametrize("text", ["i d i ö t", "ö i d i", "“i d i o”", "ab_3", "3__ab", "x a_b-c.d y"])
+@pytest.mark.parametrize("other", ["", "a b c d", "x1", "a", "ö"])
+def test_hidden_words_with_accents_and_lines(model, text, other):
+    for rows in ([text, other], [other, text]):
+        flags = charmodel.may_be_obfuscated(*texts(pa.array(rows)))
+        assert flags[rows.index(text)]
+
+
+def test_one_doc_id_on_many_rows_is_one_sample(spark):
+    rows = [(7, f"text {i}") for i in range(200)] + [(8, "other"), (None, "none")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0), (None, 1)], "doc_id long, toxic int")
+    sample = toxicity.training_sample(documents, labels).collect()
+    assert 1 <= len(sample) <= 2 and sample == toxicity.training_sample(
+        documents.repartition(7), labels).collect()
+
+
 def _corpus(spark):
     chance = random.Random(3)
     bad = ["stupid", "loser", "moron", "worthless", "clown", "trash", "idiot"]

@@ -126,7 +126,7 @@ def _letter(char: str) -> int:
 class Restorer:
     """Restores obfuscated words of texts; remembers what it has restored."""
 
-    REMEMBERED = 50_000
+    REMEMBERED = 20_000
 
     def __init__(self, model: np.ndarray):
         self._model = model
@@ -222,33 +222,54 @@ _DIGITS = _bytes(b"0123456789")
 _SIGNS = _bytes(b"@$!|+*")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_BETWEEN = _bytes(b" .-_*")
+_SINGLE = _LETTERS | _DIGITS | _bytes(b"@$!")
 
+# Blanks between texts: no pattern looks further.
+_APART = 8
 
-def may_be_obfuscated(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Flags of the texts in which ``Restorer.text`` can change anything; some more are flagged.
 
-    Look-alikes next to letters, a plain letter three times, four single characters in a row.
-    """
-    part = np.insert(data, offsets[:-1], 32)  # texts do not touch
-    starts = offsets[:-1] + np.arange(len(offsets) - 1)
-    part = np.concatenate([part, np.full(8, 32, np.uint8)])
-    letter, digit, sign = _LETTERS[part], _DIGITS[part], _SIGNS[part]
+def _odd_words(part: np.ndarray) -> np.ndarray:
+    """Places of look-alikes next to letters and of plain letters three times in a row."""
+    letter, digit, sign, low = _LETTERS[part], _DIGITS[part], _SIGNS[part], _LOWER[part]
     odd = digit | sign
-    low = _LOWER[part]
-    at = letter[:-8] & odd[1:-7] | odd[:-8] & letter[1:-7]
+    at = letter[:-2] & odd[1:-1] | odd[:-2] & letter[1:-1]
     # Signs behind a word are punctuation unless a letter or digit follows.
-    ahead = at & letter[:-8] & sign[1:-7]
+    ahead = at & letter[:-2] & sign[1:-1]
     if ahead.any():
         places = np.flatnonzero(ahead)
         rest = np.flatnonzero(~sign)
         after = rest[np.searchsorted(rest, places + 1)]
         at[places] = (letter | digit)[after]
-    at |= letter[:-8] & (low[:-8] == low[1:-7]) & (low[:-8] == low[2:-6])
-    single = letter | digit | sign
-    alone = single.copy()
-    alone[1:] &= ~single[:-1]
-    alone[:-1] &= ~single[1:]
-    at |= alone[:-8] & alone[2:-6] & alone[4:-4] & alone[6:-2]
-    flags = np.zeros(len(offsets) - 1, bool)
-    flags[np.searchsorted(starts, np.flatnonzero(at), side="right") - 1] = True
+    at |= letter[:-2] & (low[:-2] == low[1:-1]) & (low[:-2] == low[2:])
+    return np.flatnonzero(at)
+
+
+def _spaced_words(part: np.ndarray) -> np.ndarray:
+    """Places from which four characters stand one by one; each byte is a character."""
+    single, between, plain = _SINGLE[part], _BETWEEN[part], (_ASCII | _DIGITS)[part]
+    n = len(part) - 8
+    at = ~plain[:n] & ~plain[8:]
+    for i in range(1, 8):
+        at &= (single if i % 2 else between)[i : n + i]
+    return np.flatnonzero(at)
+
+
+def may_be_obfuscated(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Flags of the texts in which ``Restorer.text`` can change anything; some more are flagged.
+
+    Look-alikes next to letters, with ``_`` between them or not; a plain letter three times; four
+    single characters in a row, whatever number of bytes each has.
+    """
+    n = len(offsets) - 1
+    part = np.insert(data, np.repeat(offsets, _APART), 32)
+    starts = offsets[:-1] + _APART * np.arange(n)
+    flags = np.zeros(n, bool)
+    for kept, find in (
+        (part != ord("_"), _odd_words), ((part & 0xC0) != 0x80, _spaced_words)
+    ):
+        before = np.zeros(len(part) + 1, np.int64)
+        np.cumsum(kept, out=before[1:])
+        places = find(part[kept])
+        flags[np.searchsorted(before[starts], places, side="right") - 1] = True
     return flags

@@ -7,7 +7,9 @@ are searched. A rule without mandatory trigrams searches every text. No shuffle
 lost task repeats its own batches.
 
 A null text is empty and has no secrets. Spans are in code points, end exclusive, and do not cross
-rows. Repeated rows are searched each. Only doc_id and text are read; ``redact`` keeps all columns.
+rows. A very long text is searched whole, in time linear in its length. Spans of equal start are in
+the order of their rules. Repeated rows are searched each. An empty table gives no rows. Only doc_id
+and text are read; ``redact`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -67,7 +69,8 @@ BASE = (
 MORE = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}?-----END "
                         r"(?:[A-Z]+ )?PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # From the start of a run only, so that a run is read once.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("code_host", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{20,}"),
     Rule("bearer", r"(?i:bearer) [A-Za-z0-9+/_.=-]{20,}"),

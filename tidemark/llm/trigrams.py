@@ -136,15 +136,20 @@ def trigram_query(pattern: str) -> Query:
     return _read(parser.parse(pattern, re.ASCII))[1]
 
 
+def _spread(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint32(0x9E3779B1)) >> np.uint32(16)
+
+
 class Postings:
     """For the trigrams of some queries, which texts of a batch hold them."""
 
     def __init__(self, queries: Iterable[Query]):
         asked = {t for query in queries if query for one in query for t in one}
         self._numbers = {trigram: i for i, trigram in enumerate(sorted(asked))}
-        self._lookup = np.zeros(1 << 24, np.uint16)
-        for trigram, i in self._numbers.items():
-            self._lookup[int.from_bytes(trigram, "big")] = i + 1
+        self._codes = np.array([int.from_bytes(t, "big") for t in sorted(asked)], np.uint32)
+        # A small table tells most trigrams apart from those asked for; the codes tell the rest.
+        self._likely = np.zeros(1 << 16, bool)
+        self._likely[_spread(self._codes)] = True
 
     def index(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """One row of flags per trigram, one flag per text."""
@@ -152,13 +157,17 @@ class Postings:
         for first, last in slices(offsets):
             inner = offsets[first : last + 1]
             part = LOWER[data[inner[0] : inner[-1]]].astype(np.uint32)
-            if len(part) < 3:
+            if len(part) < 3 or not len(self._codes):
                 continue
-            number = self._lookup[(part[:-2] << 16) | (part[1:-1] << 8) | part[2:]]
-            at = np.flatnonzero(number)
+            codes = (part[:-2] << np.uint32(16)) | (part[1:-1] << np.uint32(8)) | part[2:]
+            at = np.flatnonzero(self._likely[_spread(codes)])
+            number = np.searchsorted(self._codes, codes[at])
+            number[number == len(self._codes)] = 0
+            asked = self._codes[number] == codes[at]
+            at, number = at[asked], number[asked]
             text = np.searchsorted(inner, at + inner[0], side="right") - 1
             inside = at + inner[0] + 3 <= inner[text + 1]
-            held[number[at[inside]] - 1, first + text[inside]] = True
+            held[number[inside], first + text[inside]] = True
         return held
 
     def answers(self, held: np.ndarray, query: Query) -> np.ndarray:
