@@ -35,6 +35,12 @@ def save_shared(
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder wherever Spark can reach it; tells whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def shared_area(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for the tables saved within the block; it is deleted at the end."""
@@ -44,8 +50,7 @@ def shared_area(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _area.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
 
 
 @contextmanager
