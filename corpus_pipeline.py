@@ -1,7 +1,14 @@
 """A corpus made ready for training: filters, near-duplicates, benchmark passages, secrets, packing.
 
 Each stage works on all that the one before has kept, written as Parquet and read again. All but the
-last return the columns of the documents they were given.
+last return the columns of the documents they were given; the last returns pieces of documents with
+their token ids and places, from which ``packing.sequences`` makes training sequences.
+
+Null, empty and very long texts, repeated rows, ties and further columns pass through every stage as
+the operators' docstrings say: null and empty texts are kept and become a single end id, texts of
+any length are judged whole. Of repeated rows, and of any rows of one doc_id and text, the
+near-duplicates stage leaves one; of a group of near-duplicates that of least doc_id, then of least
+text hash. An empty table gives an empty table of the same columns at every stage.
 """
 
 from __future__ import annotations
@@ -13,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, near_duplicates, packing, secrets, toxicity
-from tidemark.sources.shared import shared_folder
+from tidemark.sources.shared import delete, shared_area, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -45,8 +52,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their places in training sequences."""
-    return packing.pack(docs)
+    """Pieces of documents with their ids, and their places in training sequences."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -62,9 +69,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage wrote for itself is deleted when its result is written,
+    and that result when the next one is; the last one stays, since the frame returned reads it."""
     docs = _table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        with shared_area(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        if before:
+            delete(spark, f"{folder}/{before}")
+        docs, before = spark.read.parquet(f"{folder}/{name}"), name
     return docs
