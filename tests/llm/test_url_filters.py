@@ -44,39 +44,53 @@ def _form(segment):
     return segment
 
 
+def _log_likelihood(good, n):
+    return sum(part * math.log(part / n) for part in (good, n - good) if part)
+
+
+def _templates(counted):
+    """Template of every (host, path), level by level; ``counted`` has labels and good ones."""
+    forms = {key: [_form(s) for s in key[1].split("/") if s] for key in counted}
+    prefix = {key: "" for key in counted}
+    for depth in range(uf.DEPTH):
+        nodes = defaultdict(lambda: defaultdict(lambda: [0, 0]))
+        for key, (labelled, good) in counted.items():
+            if len(forms[key]) > depth:
+                cell = nodes[key[0], prefix[key]][forms[key][depth]]
+                cell[0] += labelled
+                cell[1] += good
+        named = {}
+        for node, branches in nodes.items():
+            all_n = sum(n for n, _ in branches.values())
+            all_good = sum(g for _, g in branches.values())
+            bar = math.log(2 * max(sum(n > 0 for n, _ in branches.values()), 1) / uf.ALPHA)
+            for segment, (n, g) in branches.items():
+                apart = _log_likelihood(g, n) + _log_likelihood(all_good - g, all_n - n)
+                ratio = apart - _log_likelihood(all_good, all_n)
+                literal = segment.startswith("{") or (0 < n < all_n and ratio >= bar)
+                named[node, segment] = segment if literal else "*"
+        for key in counted:
+            if len(forms[key]) > depth:
+                node = key[0], prefix[key]
+                prefix[key] += "/" + named[node, forms[key][depth]]
+    return {key: (prefix[key] or "/") + ("/**" if len(forms[key]) > uf.DEPTH else "")
+            for key in counted}
+
+
 def _plain(pages, labels):
     good = {}
     for page_id, g in labels:
         if g is not None:
             good[page_id] = min(good.get(page_id, True), g)
-    tree = defaultdict(lambda: [0, 0, 0])
+    counted = defaultdict(lambda: [0, 0])
     for page_id, url in pages:
-        host, path = _split(url)
-        forms = [_form(s) for s in path.split("/") if s]
-        for d, segment in enumerate(forms):
-            cell = tree[(host, d, tuple(forms[:d]), segment)]
-            cell[0] += 1
-            cell[1] += page_id in good
-            cell[2] += good.get(page_id, False)
-    parents = defaultdict(lambda: [0, 0, 0])
-    for (host, d, parent, _), cell in tree.items():
-        for i in range(3):
-            parents[(host, d, parent)][i] += cell[i]
-
-    def shown(key):
-        if key[3].startswith("{"):
-            return key[3]
-        (n, l, g), (N, L, G) = tree[key], parents[key[:3]]
-        if n < uf.LEAST_SHARE * N or not l or L == l:
-            return "*"
-        p = G / L
-        error = math.sqrt(p * (1 - p) * (1 / l + 1 / (L - l)))
-        return key[3] if error and abs(g / l - (G - g) / (L - l)) >= uf.Z * error else "*"
+        cell = counted[_split(url)]
+        cell[0] += page_id in good
+        cell[1] += good.get(page_id, False)
+    templates = _templates(counted)
 
     def template(host, path):
-        forms = [_form(s) for s in path.split("/") if s]
-        return "/" + "/".join(
-            shown((host, d, tuple(forms[:d]), s)) for d, s in enumerate(forms))
+        return templates[host, path]
 
     per, hosts, total = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0]), [0, 0]
     for page_id, url in pages:
@@ -126,6 +140,45 @@ def test_bad_branches_are_split_off_and_blocked(spark):
     assert got[1000][5] == "/*/*"
 
 
+def test_bad_sections_of_a_wide_host_are_blocked(spark):
+    """Two hundred sections of equal size, forty of them all bad."""
+    rows = [(i, f"http://h.com/section{i % 200}-x/{i}", i % 200 >= 40) for i in range(4000)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "page_id long, good boolean")
+    got = {r[0]: r[4] for r in _check(pages, labels)}
+    assert all(got[i] == ("allow" if good else "block") for i, _, good in rows)
+
+
+def test_what_hangs_below_merged_branches_is_judged_together(spark):
+    """Sixty folders, each with four bad pages in one place and four good ones in another."""
+    rows = [
+        (i, f"http://h.com/user{chr(97 + i % 60 // 8)}{chr(97 + i % 60 % 8)}/"
+            f"{'spam' if i % 2 else 'news'}/p{i}.x", i % 2 == 0)
+        for i in range(480)
+    ]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "page_id long, good boolean")
+    got = {r[0]: r for r in _check(pages, labels)}
+    assert all(got[i][4] == ("allow" if good else "block") for i, _, good in rows)
+    assert got[1][5].startswith("/*/spam/")
+
+
+def test_few_labels_split_nothing(spark):
+    rows = [(i, f"http://h.com/{'ab'[i % 2]}/x") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(0, True), (1, False), (2, True), (3, False)],
+                                   "page_id long, good boolean")
+    assert {r[5] for r in _check(pages, labels)} == {"/*/*"}
+
+
+def test_deep_paths_end_in_one_wildcard(spark):
+    rows = [(i, "http://h.com/" + "/".join("abcdefghij"[: i + 1])) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(1, True)], "page_id long, good boolean")
+    got = {r[0]: r[5] for r in _check(pages, labels)}
+    assert got[5] == "/*" * 6 and got[6] == got[9] == "/*" * 6 + "/**"
+
+
 HARD = [
     None, "", "no scheme", "://", "http://", "HTTP://WWW.Example.NET/en/x", "http://net/en/1?q",
     "http://example.net/en", "http://example.net/en/", "http://a.example.com/de/#t",

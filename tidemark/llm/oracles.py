@@ -173,7 +173,39 @@ def url_filters_sql(rules) -> str:
       WHEN regexp_matches(stem, '^[0-9a-fA-F-]{{8,}}$') AND digits > 0 THEN '{{hex}}' || lower(tail)
       WHEN len(stem) >= 12 AND digits >= 3 THEN '{{id}}' || lower(tail)
       ELSE s END"""
-    weight, z = url_filters.WEIGHT, url_filters.Z
+    weight = url_filters.WEIGHT
+
+    def entropy(good: str, n: str) -> str:
+        """n times the entropy of a share; a part of 0 adds 0."""
+        return "-(" + " + ".join(
+            f"CASE WHEN {part} > 0 THEN ({part}) * ln(({part})::DOUBLE / ({n})) ELSE 0 END"
+            for part in (good, f"({n}) - ({good})")
+        ) + ")"
+
+    ratio = (
+        entropy("allg", "alll") + " - " + entropy("g", "l") + " - "
+        + entropy("allg - g", "alll - l")
+    )
+    # One level of the tree after the other: branches, their sums by node, and the next prefixes.
+    levels = "".join(
+        f"""
+branches{d} AS (
+  SELECT host, prefix, forms[{d}] AS form, sum(labelled) AS l, sum(good) AS g
+  FROM level{d} WHERE len(forms) >= {d} GROUP BY ALL),
+sums{d} AS (
+  SELECT *, sum(l) OVER w AS alll, sum(g) OVER w AS allg, count(*) FILTER (l > 0) OVER w AS m
+  FROM branches{d} WINDOW w AS (PARTITION BY host, prefix)),
+judged{d} AS (
+  SELECT host, prefix, form, starts_with(form, '{{') OR (
+    l > 0 AND alll > l AND {ratio} >= ln(2e0 * m / {url_filters.ALPHA!r}::DOUBLE)) AS literal
+  FROM sums{d}),
+level{d + 1} AS (
+  SELECT host, path, labelled, good, forms, CASE WHEN form IS NULL THEN prefix
+    ELSE prefix || '/' || CASE WHEN literal THEN form ELSE '*' END END AS prefix
+  FROM (SELECT *, forms[{d}] AS form FROM level{d}) LEFT JOIN judged{d} USING (host, prefix, form)),"""
+        for d in range(1, url_filters.DEPTH + 1)
+    )
+    last = f"level{url_filters.DEPTH + 1}"
     return f"""
 WITH rests AS (SELECT row_number() OVER () AS rid, page_id, coalesce({rest}, '') AS r FROM pages),
 placed AS (
@@ -188,8 +220,7 @@ marks AS (
     USING (doc_id)
   WHERE q IS NOT NULL GROUP BY page_id),
 paths AS (
-  SELECT host, path, count(*) AS pages, count(good) AS labelled,
-    coalesce(sum(CAST(good AS INTEGER)), 0) AS good
+  SELECT host, path, count(good) AS labelled, coalesce(sum(CAST(good AS INTEGER)), 0) AS good
   FROM placed LEFT JOIN marks USING (page_id) GROUP BY host, path),
 pieces AS (
   SELECT host, path, depth, s, regexp_extract(s, '{ending}', 1) AS tail,
@@ -198,32 +229,16 @@ pieces AS (
         FROM (SELECT host, path, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts
               FROM paths))),
 forms AS (
-  SELECT host, path, depth, {form} AS form
-  FROM (SELECT *, len(regexp_replace(stem, '[^0-9]', '', 'g')) AS digits FROM pieces)),
-below AS (
-  SELECT *, coalesce(string_agg(form, '/') OVER (
-    PARTITION BY host, path ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')
-    AS parent FROM forms),
-branches AS (
-  SELECT host, depth, parent, form, sum(pages) AS n, sum(labelled) AS l, sum(good) AS g
-  FROM below JOIN paths USING (host, path) GROUP BY ALL),
-sums AS (
-  SELECT *, sum(n) OVER w AS alln, sum(l) OVER w AS alll, sum(g) OVER w AS allg
-  FROM branches WINDOW w AS (PARTITION BY host, depth, parent)),
-judged AS (
-  SELECT *, starts_with(form, '{{') OR (
-    n >= {url_filters.LEAST_SHARE} * alln AND l > 0 AND alll > l AND allg > 0 AND allg < alll
-    AND abs(g::DOUBLE / l - (allg - g)::DOUBLE / (alll - l)) >= {z} * sqrt(
-      (allg::DOUBLE / alll) * (1 - allg::DOUBLE / alll) * (1.0::DOUBLE / l
-                                                          + 1.0::DOUBLE / (alll - l)))) AS literal
-  FROM sums),
-named AS (
-  SELECT host, path, '/' || string_agg(CASE WHEN literal THEN form ELSE '*' END, '/'
-                                       ORDER BY depth) AS template
-  FROM below JOIN judged USING (host, depth, parent, form) GROUP BY host, path),
+  SELECT host, path, list({form} ORDER BY depth) AS forms
+  FROM (SELECT *, len(regexp_replace(stem, '[^0-9]', '', 'g')) AS digits FROM pieces)
+  GROUP BY host, path),
+level1 AS (
+  SELECT host, path, labelled, good, coalesce(forms, []) AS forms, '' AS prefix
+  FROM paths LEFT JOIN forms USING (host, path)),{levels}
 templates AS (
-  SELECT host, path, coalesce(template, '/') AS template, labelled, good
-  FROM paths LEFT JOIN named USING (host, path)),
+  SELECT host, path, labelled, good, CASE WHEN prefix = '' THEN '/'
+    WHEN len(forms) > {url_filters.DEPTH} THEN prefix || '/**' ELSE prefix END AS template
+  FROM {last}),
 per_template AS (
   SELECT host, template, sum(labelled) AS l, sum(good) AS g FROM templates GROUP BY ALL),
 per_host AS (SELECT host, sum(l) AS hl, sum(g) AS hg FROM per_template GROUP BY host),

@@ -5,20 +5,25 @@ longest rule that fits decides. Every other URL is judged by the template of its
 
 * A segment whose form varies by nature (digits, hexadecimal, long mixes of letters and digits,
   before any file ending) is a wildcard of that form.
-* Any other segment is a branch below its host and the forms of the segments before it. A branch
-  that does not stand out from its siblings is merged into the wildcard ``*``: it is rare (under
-  ``LEAST_SHARE`` of its parent's pages), or its share of good labels differs from that of all
-  siblings together by no more than chance (two-proportion z below ``Z``).
+* Any other segment is a branch below its host and the template of the segments before it. A branch
+  whose share of good labels is like that of its siblings is merged into the wildcard ``*``. Labels
+  alone decide: a branch stands out if the likelihood ratio of two shares against one is at least
+  ``ln(2 m / ALPHA)``, with m the number of siblings that have labels. That bound holds for few labels
+  as for many, and for all siblings of a node together.
+* Levels are merged from the top. What hangs below merged branches hangs below their wildcard and is
+  counted together there before it is tested. Segments beyond ``DEPTH`` are one wildcard ``**``.
 * A template's purity is its share of good labels, smoothed with ``WEIGHT`` labels of its host's
   purity, which is smoothed with as many of the whole table's. Below ``PURITY`` it is rejected.
 
-Everything is counted on distinct (host, path) pairs with their pages summed, so a hot page or host
-is one row per path before any join. All expressions are Spark's own.
+Everything is counted on distinct (host, path) pairs with their labels summed, and every sum is
+written before it is joined: small ones are broadcast by their size, and where a host, a branch or a
+template holds many rows, Spark splits its partition. All expressions are Spark's own.
 
 A null URL, or one without ``://``, has empty host and path, no rule fits it, and it is judged as
-the pages of the empty host are. An empty path has no segments. Repeated rows are judged each. Null
-labels are none. No labels block nothing beyond the rules; no pages give no rows. Only page_id and
-url are read.
+the pages of the empty host are. An empty path has no segments, a very long one is judged whole.
+Repeated rows are judged each. Null labels are none; of several labels of a page the bad one counts.
+Equally long rules are tried in alphabetical order, the last one that fits wins. No labels block
+nothing beyond the rules; no pages give no rows. Only page_id and url are read.
 """
 
 from __future__ import annotations
@@ -33,8 +38,8 @@ from tidemark.sources.shared import save_shared
 # (verdict, host, path): the path includes its slash.
 Rule = tuple[str, str, str]
 
-LEAST_SHARE = 0.01
-Z = 3.0
+ALPHA = 0.001
+DEPTH = 6
 WEIGHT = 5.0
 PURITY = 0.5
 
@@ -78,61 +83,90 @@ def _form(segment: Column) -> Column:
     return F.when(form.isNotNull(), F.concat(form, F.lower(ending))).otherwise(segment)
 
 
-def path_templates(paths: DataFrame) -> DataFrame:
-    """``host, path, template`` of a written table ``host, path, pages, labelled, good``."""
-    segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    forms = F.transform(segments, _form)
-    placed = paths.withColumn("forms", forms).select(
-        "host", "path", "pages", "labelled", "good", "forms",
-        F.posexplode_outer("forms").alias("depth", "segment"),
-    )
-    placed = placed.withColumn(
-        "parent", F.concat_ws("/", F.slice("forms", 1, F.coalesce("depth", F.lit(0))))
-    ).drop("forms")
-    node = ["host", "depth", "parent"]
-    sums = [F.sum(name).alias(name) for name in ("pages", "labelled", "good")]
-    branches = placed.filter(F.col("depth").isNotNull()).groupBy(*node, "segment").agg(*sums)
-    parents = branches.groupBy(*node).agg(
-        *[F.sum(name).alias(f"all_{name}") for name in ("pages", "labelled", "good")]
-    )
-    n, rest = F.col("labelled"), F.col("all_labelled") - F.col("labelled")
-    share = F.try_divide(F.col("good"), n)
-    other = F.try_divide(F.col("all_good") - F.col("good"), rest)
-    pooled = F.try_divide(F.col("all_good"), F.col("all_labelled"))
-    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n)
-                                            + F.try_divide(F.lit(1.0), rest)))
-    stands_out = (F.col("pages") >= LEAST_SHARE * F.col("all_pages")) & (
-        F.coalesce(F.abs(share - other) >= Z * error, F.lit(False)) & (error > 0)
+def _entropy(good: Column, n: Column) -> Column:
+    """n times the entropy of a share, in nats."""
+    bad = n - good
+    return -sum(
+        F.when(part > 0, part * F.log(F.try_divide(part, n))).otherwise(0.0) for part in (good, bad)
     )
-    by_nature = F.col("segment").startswith("{")
-    kept = (
-        branches.join(parents, node)
-        .filter(by_nature | F.coalesce(stands_out, F.lit(False)))
-        .select(*node, "segment", F.col("segment").alias("shown"))
+
+
+def stands_out() -> Column:
+    """Whether a branch's share of good labels differs from that of its siblings together."""
+    n, good, all_n, all_good = map(F.col, ("labelled", "good", "all_labelled", "all_good"))
+    ratio = _entropy(all_good, all_n) - _entropy(good, n) - _entropy(all_good - good, all_n - n)
+    both = (n > 0) & (all_n > n)
+    return both & (ratio >= F.log(2.0 * F.col("siblings") / ALPHA))
+
+
+def _kept_branches(placed: DataFrame) -> DataFrame:
+    """``host, prefix, segment`` of the branches of one level that keep their name."""
+    counts = ("labelled", "good")
+    branches = save_shared(
+        placed.groupBy("host", "prefix", "segment").agg(*[F.sum(c).alias(c) for c in counts]),
+        "branches",
     )
-    shown = placed.select("host", "path", "depth", "parent", "segment").join(
-        kept, [*node, "segment"], "left"
+    parents = save_shared(
+        branches.groupBy("host", "prefix").agg(
+            *[F.sum(c).alias(f"all_{c}") for c in counts],
+            F.count_if(F.col("labelled") > 0).alias("siblings"),
+        ),
+        "parents",
     )
-    step = F.struct("depth", F.coalesce("shown", F.lit("*")).alias("shown"))
-    steps = F.array_sort(F.collect_list(F.when(F.col("depth").isNotNull(), step)))
-    return shown.groupBy("host", "path").agg(
-        F.concat(F.lit("/"), F.concat_ws("/", steps["shown"])).alias("template")
+    by_nature = F.col("segment").startswith("{")
+    kept = branches.join(parents, ["host", "prefix"]).filter(by_nature | stands_out())
+    return save_shared(kept.select("host", "prefix", "segment"), "kept")
+
+
+def path_templates(paths: DataFrame) -> DataFrame:
+    """A written table ``host, path, labelled, good`` with the ``template`` of each path, written."""
+    segments = F.filter(F.split("path", "/"), lambda s: s != "")
+    state = save_shared(
+        paths.select(
+            "host", "path", "labelled", "good", F.transform(segments, _form).alias("forms"),
+            F.lit("").alias("prefix"),
+        ),
+        "forms",
+    )
+    levels = state.agg(F.max(F.size("forms"))).first()[0] or 0
+    for depth in range(min(levels, DEPTH)):
+        placed = state.withColumn("segment", F.get("forms", F.lit(depth)))
+        kept = _kept_branches(placed.filter(F.col("segment").isNotNull()))
+        shown = kept.withColumn("shown", F.col("segment"))
+        joined = placed.join(shown, ["host", "prefix", "segment"], "left")
+        step = F.concat_ws("/", "prefix", F.coalesce("shown", F.lit("*")))
+        prefix = F.when(F.col("segment").isNull(), F.col("prefix")).otherwise(step)
+        state = save_shared(
+            joined.select("host", "path", "labelled", "good", "forms", prefix.alias("prefix")),
+            "forms",
+        )
+    rest = F.when(F.size("forms") > DEPTH, F.lit("/**")).otherwise("")
+    template = F.when(F.col("prefix") == "", F.lit("/")).otherwise(F.concat("prefix", rest))
+    return save_shared(
+        state.select("host", "path", "labelled", "good", template.alias("template")), "templates"
     )
 
 
 def template_purity(counted: DataFrame) -> DataFrame:
     """``host, template, purity`` of a written table ``host, path, labelled, good, template``."""
-    by_template = counted.groupBy("host", "template").agg(
-        F.sum("labelled").alias("labelled"), F.sum("good").alias("good")
+    by_template = save_shared(
+        counted.groupBy("host", "template").agg(
+            F.sum("labelled").alias("labelled"), F.sum("good").alias("good")
+        ),
+        "by-template",
     )
-    by_host = by_template.groupBy("host").agg(
-        F.sum("labelled").alias("host_labelled"), F.sum("good").alias("host_good")
+    by_host = save_shared(
+        by_template.groupBy("host").agg(
+            F.sum("labelled").alias("host_labelled"), F.sum("good").alias("host_good")
+        ),
+        "by-host",
     )
-    labelled, good = counted.agg(F.sum("labelled"), F.sum("good")).first()
+    labelled, good = by_host.agg(F.sum("host_labelled"), F.sum("host_good")).first()
     whole = good / labelled if labelled else 1.0
     prior = (F.col("host_good") + WEIGHT * whole) / (F.col("host_labelled") + WEIGHT)
     purity = (F.col("good") + WEIGHT * prior) / (F.col("labelled") + WEIGHT)
-    return by_template.join(by_host, "host").select("host", "template", purity.alias("purity"))
+    found = by_template.join(by_host, "host").select("host", "template", purity.alias("purity"))
+    return save_shared(found, "purity")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -145,22 +179,25 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule]) -> DataFra
         pages.select(F.col("page_id").cast("long"), host.alias("host"), path.alias("path")),
         "pages",
     )
-    marks = labels.filter(F.col("good").isNotNull()).groupBy("page_id").agg(
-        F.min("good").alias("good")
+    marks = save_shared(
+        labels.filter(F.col("good").isNotNull()).groupBy("page_id").agg(
+            F.min("good").alias("good")
+        ),
+        "marks",
     )
     known = placed.join(marks, "page_id", "left")
     paths = save_shared(
         known.groupBy("host", "path").agg(
-            F.count("*").alias("pages"),
             F.count("good").alias("labelled"),
             F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good"),
         ),
         "paths",
     )
-    templates = paths.join(path_templates(paths), ["host", "path"])
-    templates = save_shared(templates.drop("pages"), "templates")
+    templates = path_templates(paths)
     purity = template_purity(templates)
-    judged = templates.select("host", "path", "template").join(purity, ["host", "template"])
+    judged = save_shared(
+        templates.select("host", "path", "template").join(purity, ["host", "template"]), "judged"
+    )
     rule, verdict = listed(rules)
     method = F.when(F.col("purity") < PURITY, "block").otherwise("allow")
     return (
@@ -181,8 +218,11 @@ def labels_by_path(pages: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"),
         F.when(doc_id != "", doc_id).cast("long").alias("doc_id"),
     )
-    marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
-        F.min("quality").alias("quality"), F.max("toxic").alias("toxic")
+    marks = save_shared(
+        labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+            F.min("quality").alias("quality"), F.max("toxic").alias("toxic")
+        ),
+        "document-marks",
     )
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     return shown.join(marks, "doc_id").select("page_id", good.alias("good"))
