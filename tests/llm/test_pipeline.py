@@ -136,3 +136,86 @@ def test_null_ids_are_judged_each(spark):
 def test_blank_texts_stay(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, " ", "x"), (None, "", "x"), (4, None, "x")]
     assert _kept(spark, rows + rows[:1]) == sorted(rows, key=repr)
+
+
+# --- odd and empty tables, and what a run leaves behind ---
+
+
+def _through(spark, docs, sf_dir, folder):
+    """Every stage on what the one before left, written in between."""
+    found = {}
+    for name, stage in corpus_pipeline.STAGES:
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        found[name] = docs = spark.read.parquet(path)
+    return found
+
+
+def test_stages_on_odd_rows(spark, odd_documents, tmp_path):
+    clashing = odd_documents.selectExpr(
+        "*", "'k' AS key", "0 AS label", "'s' AS source", "1 AS row", "2L AS n_words", "'w' AS words"
+    )
+    found = _through(spark, clashing, SF, tmp_path)
+    rows = {name: frame.collect() for name, frame in found.items()}
+    # Nothing here is toxic, contaminated or secret; one row stands twice.
+    assert len(rows["toxicity"]) == clashing.count()
+    distinct = sorted(map(tuple, clashing.distinct().collect()), key=repr)
+    for name in ("near_duplicates", "decontamination", "secrets"):
+        assert found[name].columns == clashing.columns
+        assert sorted(map(tuple, rows[name]), key=repr) == distinct
+    ends = {r["doc_id"]: r["length"] for r in rows["packing"] if r["doc_id"] in (1, 2)}
+    assert ends == {1: 1, 2: 1}
+    assert sum(r["length"] for r in rows["packing"] if r["doc_id"] == 7) > 40_000
+    assert {r["doc_id"] for r in rows["packing"]} == {r["doc_id"] for r in distinct_ids(clashing)}
+
+
+def distinct_ids(frame):
+    return frame.select("doc_id").distinct().collect()
+
+
+@pytest.fixture
+def empty_tables(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        table = spark.read.parquet(f"{SF}/{name}.parquet").limit(0)
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_stages_on_empty_tables(spark, empty_tables, tmp_path):
+    docs = spark.read.parquet(f"{empty_tables}/documents.parquet")
+    found = _through(spark, docs, empty_tables, tmp_path / "stages")
+    for name, frame in found.items():
+        assert frame.isEmpty()
+        if name != "packing":
+            assert frame.columns == docs.columns
+    assert corpus_pipeline.run(spark, empty_tables).collect() == []
+
+
+def test_sequences_can_be_built_from_the_result(spark, stages):
+    import zlib
+
+    import numpy as np
+
+    from tidemark.llm import packing
+
+    _, packed = stages["packing"]
+    pieces = packed.collect()
+    for r in pieces:
+        ids = np.array(r["ids"], "<u4")
+        assert len(ids) == r["length"] and zlib.crc32(ids.tobytes()) == r["ids_crc32"]
+    sequences = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
+    assert sum(map(len, sequences.values())) == sum(r["length"] for r in pieces)
+    for r in pieces[:200]:
+        own = sequences[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]]
+        assert own == r["ids"] and len(sequences[r["sequence_id"]]) <= 4096
+
+
+def test_a_run_leaves_only_its_result(spark):
+    from pathlib import Path
+
+    from tidemark.sources.shared import shared_folder
+
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.glob("pipeline-*/*"))
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert [p.name for p in set(shared.glob("pipeline-*/*")) - before] == ["packing"]

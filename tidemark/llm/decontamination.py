@@ -10,13 +10,16 @@ the window gives the place where the window would start in the document (positio
 the window has to end within the document (length bound). What passes is compared word for word.
 
 Two passes read the documents. The first explodes words once, keeps the occurrences of benchmark
-shingles, counts them and finds the candidates; the second compares. A hot shingle is counted
-before any shuffle; a document's candidates are bounded by its own words. Equal windows of several
-items are one window until the end. All expressions are Spark's own.
+shingles, counts them and finds the candidates; the second compares. Whatever documents are joined
+with is written before, so Spark broadcasts it by its size, or splits what a hot shingle or many rows
+alike bring into one partition. A document's candidates are bounded by its own words. Equal windows
+of several items are one window until the end. All expressions are Spark's own.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lowering A-Z. A null text has no words. A row
 is known by its doc_id and two hashes of its text; rows alike in all of them get the same answer. A
-null item_id counts as an item of that (empty) name. Empty tables on either side hit nothing.
+null item_id counts as an item of that (empty) name. Of equally rare shingles of a window the first
+in text order, then in place, is taken. Very long texts are exploded like any other. Empty tables on
+either side hit nothing.
 """
 
 from __future__ import annotations
@@ -91,18 +94,21 @@ def _candidates(documents: DataFrame, windows: DataFrame) -> DataFrame:
         )
         if own.isEmpty():
             continue
-        wanted = own.select("shingle").distinct()
+        # Written first, the wanted shingles have a known size: where they are few they are
+        # broadcast and no shingle of a document is shuffled; else a hot one is split by Spark.
+        wanted = save_shared(own.select("shingle").distinct(), f"wanted-{width}")
         met = save_shared(
             shingles(documents, ["key", "n_words"], width).join(wanted, "shingle"), f"met-{width}"
         )
         often = met.groupBy("shingle").agg(F.count("*").alias("n"))
         rarity = F.struct(F.coalesce("n", F.lit(0)), "shingle", "at")
-        prefix = (
+        prefix = save_shared(
             own.join(often, "shingle", "left")
             .groupBy("window", "size")
             .agg(F.min(rarity).alias("rarest"))
             .select("window", "size", F.col("rarest.shingle").alias("shingle"),
-                    F.col("rarest.at").alias("place"))
+                    F.col("rarest.at").alias("place")),
+            f"prefix-{width}",
         )
         start = F.col("at") - F.col("place")
         found.append(
@@ -157,8 +163,11 @@ def find_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
     candidates = candidates.distinct().join(
         windows.select("window", F.col("words").alias("wanted"), "size"), "window"
     )
-    per_key = candidates.groupBy("key").agg(
-        F.collect_list(F.struct("start", "size", "window", "wanted")).alias("candidates")
+    per_key = save_shared(
+        candidates.groupBy("key").agg(
+            F.collect_list(F.struct("start", "size", "window", "wanted")).alias("candidates")
+        ),
+        "candidates",
     )
     held = F.array_sort(
         F.transform(
@@ -176,13 +185,14 @@ def find_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
         F.array_distinct(F.transform(held, lambda h: h["window"])).alias("held"),
     )
     judged = save_shared(judged, "judged")
-    names = (
+    names = save_shared(
         judged.filter(F.col("n_hit") > 0)
         .select("key", F.explode("held").alias("window"))
         .distinct()
         .join(owners, "window")
         .groupBy("key")
-        .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+        .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")),
+        "names",
     )
     return judged.drop("held").join(names, "key", "left").withColumn(
         "item_ids", F.coalesce("item_ids", F.array().cast("array<string>"))

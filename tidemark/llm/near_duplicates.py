@@ -27,8 +27,9 @@ equal hashes with probability about 2**-64 per pair. Sets are built a second tim
 nodes that share a bucket.
 
 A null, empty or blank text has the empty set, and is linked with nothing. The component of a node
-is the least doc_id of its rows, nulls aside. Rows that repeat are copies. Only doc_id and text are
-read; no documents give no rows.
+is the least doc_id of its rows, nulls aside. Rows that repeat are copies. A very long text is hashed
+in one slice of its own, its set is as large as it is. Only doc_id and text are read; no documents
+give no rows.
 
 ``kept`` tells of a doc_id, which rows may share or lack. ``one_of_each_group`` chooses rows: of each
 component the one of least doc_id, nulls last, and then of least text hash. Rows of one doc_id and

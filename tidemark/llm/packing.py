@@ -13,7 +13,9 @@ The plan is a list of placements, each saying where a run of equal lengths goes.
 up a length or a set of sequences with equal room, so there are a few times ``capacity``
 placements at most; tasks look their pieces up in it by length and number.
 
-A null text is empty; an empty text is its end id alone. Rows that repeat are packed each. Only
+A null text is empty; an empty text is its end id alone. A very long text is cut into pieces, the
+last of which may be shorter. Pieces of equal length are interchangeable: which goes where follows
+from their numbers. Rows that repeat are packed each. Only
 doc_id and text are read, doc_id may be null. No documents give no pieces.
 """
 

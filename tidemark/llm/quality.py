@@ -13,7 +13,8 @@ All counts are over all documents, all tests over all labelled ones. What is cho
 stratum and rule, the number of documents between ``GRID`` quantiles, whatever the corpus.
 
 A null text has no words. A null language is a stratum of its own. Documents with several labels
-take the lowest; null labels are none. Repeated rows are judged, and counted, each. Only doc_id,
+take the lowest; null labels are none. Very long texts are counted whole. Of levels of equal use the
+most lenient is taken. Repeated rows are judged, and counted, each. Only doc_id,
 text and lang are read. No documents give no rows; no labels reject nothing beyond the base rules.
 """
 

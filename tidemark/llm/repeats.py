@@ -26,7 +26,8 @@ anchor.
 Texts are known by a 64-bit hash; equal texts have equal spans and share them. Segments are compared
 byte by byte, hot ones by the hashes of their windows. A null text is empty; texts shorter than ``WIDTH`` lose nothing. Rows that repeat are
 texts of their own, so what they share is removed from each. Only doc_id and text are read; doc_id
-may be null. No documents give no rows.
+may be null. A very long text is searched in overlapping stretches. Of repeated passages no occurrence is
+preferred: all lose the passage. No documents give no rows.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ comes to the driver. No task sees more than a node, whatever the corpus.
 
 A group is the SHA-256 of its text and counts as a whole, however many rows it has; its bytes are
 summed before any shuffle. A null text is empty and in one group with empty texts. Rows that repeat
-get a slot each; doc_id may be null. No documents give no rows. Other columns are not read.
+get a slot each; doc_id may be null. A very long text is one group however large. Groups of equal
+size are taken in the order of their hash. No documents give no rows. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ counts, one per 64 bits, and the bits of one machine word.
 
 A file is a Parquet file whose rows are segments of whole documents in ascending order of doc_id:
 about ``SEGMENT_TOKENS`` ids each, more only where one document has more. Nulls: a null text is
-empty, a null doc_id sorts first. Equal doc_ids stand next to each other, one entry per row. Empty
+empty, a null doc_id sorts first. Equal doc_ids stand next to each other in any order, one entry per
+row. A very long text is a segment of its own. Equal ids in a text have equal codes. Empty
 tables give no segments. Other columns are not read.
 """
 

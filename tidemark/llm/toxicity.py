@@ -12,7 +12,8 @@ how many words it has. Only the text is looked at: not labels, language, source
 
 A null or empty text has no words and scores like any text without signals. Null labels are none;
 a document with several labels counts as toxic if one says so. A null doc_id counts as the empty
-text in the fold rule. Repeated rows are scored each. Without labels of both kinds the score is the
+text in the fold rule. Repeated rows are scored each. A very long text is restored and scored whole;
+its length enters the score. Signals of equal strength are taken in byte order. Without labels of both kinds the score is the
 share of toxic labels, or 0. No documents give no rows.
 """
 
