@@ -4,6 +4,7 @@ import re
 import statistics
 import threading
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -24,6 +25,7 @@ from tidemark.operators.preprocess import fit_preprocessor, median_imputer
 from tidemark.operators.slots import exact_medians
 from tidemark.operators.staging import stage
 from tidemark.plans.concurrent import side_by_side
+from tidemark.sources.committed import committed_folder, committed_manifest
 from tidemark.sources.csv_files import RAW_COLUMNS
 from tidemark.sources.shared import save_shared
 from tidemark.sources.sinks import load_models, save_models
@@ -179,12 +181,18 @@ def test_whole_run(spark, tmp_path):
     assert metrics["logistic_regression"]["row_count"] == 90
     assert tables["model_selection_validation"].count() == 22
     assert tables["precision_recall_curve"].first()["prevalence"] == pytest.approx(1 / 3)
-    assert spark.read.parquet(str(tmp_path / "predictions")).count() == 90
-    assert not (tmp_path / "models").exists()
-    document = spark.read.json(str(tmp_path / "metrics")).first()
+    folder = Path(committed_folder(spark, str(tmp_path)))
+    assert spark.read.parquet(str(folder / "predictions")).count() == 90
+    assert not (folder / "models").exists()
+    listed = {r["name"]: r for r in committed_manifest(spark, str(tmp_path)).collect()}
+    assert listed["predictions"]["row_count"] == 90
+    assert listed["predictions"]["sums"]["label"] == 30
+    assert listed["split_summary"]["sums"]["row_count"] == 270
+    assert set(listed) == {*tables, "predictions", "metrics"}
+    document = spark.read.json(str(folder / "metrics")).first()
     assert document["selected_model"]["refit_on_train_plus_validation"] is True
     assert document["serialization"]["requested"] is False
-    written = spark.read.option("header", True).csv(str(tmp_path / "tables" / "split_summary"))
+    written = spark.read.option("header", True).csv(str(folder / "tables" / "split_summary"))
     assert written.count() == 3
 
 

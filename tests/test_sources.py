@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 
 from tidemark.sources import csv_files, sinks
+from tidemark.sources.csv_files import RAW_COLUMNS, file_headers
 from tidemark.sources.months import month_calendar, month_coverage
 from tidemark.sources.shared import kept, save_shared, shared_area, shared_folder
 
@@ -64,6 +65,47 @@ def test_every_file_is_checked(spark, tmp_path):
         csv_files.require_headers(spark, [str(folder)])
 
 
+def bytes_read_by_last_job(spark, folder):
+    """What one more look-up adds to the bytes that this process's file systems have read."""
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics
+
+    def total():
+        return sum(s.getBytesRead() for s in statistics())
+
+    before = total()
+    file_headers(spark, [folder]).collect()
+    return total() - before
+
+
+def test_header_look_up_reads_no_further_than_it_has_to(spark, tmp_path):
+    """Twenty times the rows cost no more bytes; a scan would read them all."""
+    header = ",".join(RAW_COLUMNS)
+    sizes = {}
+    for name, rows in (("small", 20_000), ("large", 400_000)):
+        (tmp_path / name).mkdir()
+        line = ",".join("x" * 8 for _ in RAW_COLUMNS)
+        (tmp_path / name / "a.csv").write_text(header + "\n" + (line + "\n") * rows)
+        found = file_headers(spark, [str(tmp_path / name)]).collect()
+        assert [r["header"] for r in found] == [list(RAW_COLUMNS)]
+        assert found[0]["bytes"] == (tmp_path / name / "a.csv").stat().st_size
+        sizes[name] = bytes_read_by_last_job(spark, str(tmp_path / name))
+    assert sizes["large"] < 4 << 20 < found[0]["bytes"]
+
+
+def test_headers_where_files_are_cut_or_put_together(spark, tmp_path):
+    """Sessions that cut files or pack several into a task change nothing."""
+    for i in range(5):
+        (tmp_path / f"{i} é.csv").write_text(f"a{i},b\n" + "1,2\n" * 5000)
+    (tmp_path / "empty.csv").write_text("")
+    expected = {f"a{i}" for i in range(5)}
+    held = spark.newSession()
+    for bytes_ in ("4096", "10000000"):
+        held.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+        rows = file_headers(held, [str(tmp_path)]).collect()
+        assert len(rows) == 6
+        assert {r["header"][0] for r in rows if r["header"]} == expected
+
+
 def test_manifest(spark, tmp_path):
     path = write(tmp_path / "in", "a b.csv", HEADER, *[ROW] * 5000)
     row = csv_files.file_manifest(spark, [str(tmp_path / "in")]).first()

@@ -16,13 +16,16 @@ Value = TypeVar("Value")
 
 
 def side_by_side(
-    spark: SparkSession, name: str, tasks: Mapping[Key, Callable[[], Value]]
+    spark: SparkSession,
+    name: str,
+    tasks: Mapping[Key, Callable[[], Value]],
+    threads: int | None = None,
 ) -> dict[Key, Value]:
     """What each task returns, in the order given.
 
     Each task runs on a thread of its own, in a job group and scheduler pool of its own (pools share
-    the executors evenly where ``spark.scheduler.mode`` is FAIR). When one fails, the jobs of all
-    others are cancelled, and its error is raised.
+    the executors evenly where ``spark.scheduler.mode`` is FAIR); with ``threads`` so many at a time.
+    When one fails, the jobs of all others are cancelled, and its error is raised.
     """
     context = spark.sparkContext
     tag = f"{name}-{uuid.uuid4().hex}"
@@ -37,7 +40,7 @@ def side_by_side(
         variables = copy_context()
         return inheritable_thread_target(spark)(lambda: variables.run(work))
 
-    with ThreadPoolExecutor(max(len(tasks), 1)) as pool:
+    with ThreadPoolExecutor(threads or max(len(tasks), 1)) as pool:
         running = {key: pool.submit(started(key, task)) for key, task in tasks.items()}
         done, others = wait(running.values(), return_when=FIRST_EXCEPTION)
         failed = [future for future in done if future.exception()]

@@ -15,38 +15,48 @@ from tidemark import spec
 from tidemark.plans.cleaning import prepare
 from tidemark.plans.reports import report_tables, summary_document
 from tidemark.plans.training import fit_run
+from tidemark.sources.committed import commit_run
 from tidemark.sources.csv_files import read_csv
 from tidemark.sources.shared import shared_area
 from tidemark.sources.sinks import save_models, write_json, write_predictions, write_report
 
 
 def run(raw: DataFrame, output: str, config: spec.RunConfig) -> dict[str, DataFrame]:
-    """Run everything on raw records; returns the report tables as written under ``output``.
+    """Run everything on raw records; returns the report tables as written.
 
-    Intermediate tables are deleted when all results are written.
+    The results become the current ones of ``output`` together, at the end; see
+    ``committed_folder``. Intermediate tables are deleted.
     """
     spark = raw.sparkSession
-    with shared_area(spark):
+    reports: dict[str, DataFrame] = {}
+
+    def write(folder: str) -> dict[str, DataFrame]:
         prepared = prepare(raw, config)
         fitted = fit_run(prepared.featured, config)
         tables = report_tables(prepared, fitted, config)
-        written = {}
         for name, table in tables.items():
             # A model without mistakes has no error sample; any other empty table is an error.
             may_be_empty = name == "error_analysis_sample"
-            path = f"{output}/tables/{name}"
+            path = f"{folder}/tables/{name}"
             if write_report(table, path, may_be_empty, one_file=name != "feature_coefficients"):
                 reader = spark.read.schema(table.schema).option("header", True)
-                written[name] = reader.csv(path)
+                reports[name] = reader.csv(path)
             else:
-                written[name] = spark.createDataFrame([], table.schema)
+                reports[name] = spark.createDataFrame([], table.schema)
+        results = dict(reports)
         saved = {"requested": False, "saved": False, "error": None}
         if config.save_models:
-            saved = save_models(fitted.preprocessor, fitted.model, f"{output}/models")
+            saved = save_models(fitted.preprocessor, fitted.model, f"{folder}/models")
         if config.export_predictions:
-            write_predictions(fitted.predictions, f"{output}/predictions")
-        write_json(summary_document(tables, fitted, config, saved), f"{output}/metrics")
-    return written
+            write_predictions(fitted.predictions, f"{folder}/predictions")
+            results["predictions"] = spark.read.parquet(f"{folder}/predictions")
+        write_json(summary_document(tables, fitted, config, saved), f"{folder}/metrics")
+        results["metrics"] = spark.read.text(f"{folder}/metrics")
+        return results
+
+    with shared_area(spark):
+        commit_run(spark, output, write)
+    return reports
 
 
 def _numbers(text: str) -> tuple[float, ...]:
@@ -102,6 +112,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = (
         SparkSession.builder.appName("tidemark")
         .config("spark.sql.session.timeZone", "UTC")
+        # The models of a grid are fitted at the same time and share the executors evenly.
+        .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
     run(read_csv(spark, options.input), options.output, config)

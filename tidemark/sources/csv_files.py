@@ -5,8 +5,9 @@ Files are opened by Spark's readers alone, so they may lie wherever Spark can re
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.headers import bind_headers, plain, resolve_fields
+from tidemark.plans.concurrent import side_by_side
 from tidemark.spec import FIELD_HEADERS
 
 RAW_COLUMNS = tuple(aliases[0] for aliases in FIELD_HEADERS.values())
@@ -42,7 +44,7 @@ def _read_layout(
 def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The twelve raw columns from all paths; any two files may have different headers.
 
-    The first line of every file is looked up ahead. Files whose fields stand at the same places
+    The first line of every file is looked up ahead, without reading on. Files whose fields stand at the same places
     are read together, whatever their headers call them, so there are as many scans as there are
     really different layouts. What comes to the driver is the file listing, which Spark holds
     there for any scan.
@@ -75,42 +77,62 @@ def write_raw_csv(raw: DataFrame, folder: str) -> None:
 # --- describing files ---
 
 
+# Files whose first lines one job looks up.
+FILES_AT_ONCE = 50
+
+
+def _first_line(session: SparkSession, file: str) -> DataFrame:
+    """``path, bytes, line`` of one file; no row if it is empty.
+
+    With a limit in the task that scans the file, the scan stops behind its first line.
+    """
+    lines = session.read.text(file).select(
+        F.lit(file).alias("path"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").alias("line"),
+    )
+    return lines.filter("block = 0").drop("block").coalesce(1).limit(1)
+
+
+def _first_lines(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, int, str]]:
+    """What is read of a file does not grow with its size: a session of its own does not cut files,
+    so the first line is the first that the only task of a file meets."""
+    alone = spark.newSession()
+    for option in ("maxPartitionBytes", "openCostInBytes"):
+        alone.conf.set(f"spark.sql.files.{option}", str(1 << 40))
+
+    def job(some: Sequence[str]) -> Callable[[], list[tuple[str, int, str]]]:
+        def look_up() -> list[tuple[str, int, str]]:
+            each = [_first_line(alone, file) for file in some]
+            return [tuple(row) for row in reduce(DataFrame.unionByName, each).collect()]
+
+        return look_up
+
+    jobs = {at: job(files[at : at + FILES_AT_ONCE]) for at in range(0, len(files), FILES_AT_ONCE)}
+    found = side_by_side(spark, "headers", jobs, threads=8)
+    return [row for rows in found.values() for row in rows]
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``path, bytes, header`` per CSV file, empty files included.
 
-    Sizes and first lines come from a scan of the lines, of which every task keeps one per file.
-    Empty files have none; they show in the listing, which Spark holds on the driver for any scan.
-    A byte-order mark and quotes around names are taken off.
+    The driver holds the listing, as Spark does for any scan, and one header per file. A byte-order
+    mark and quotes around names are taken off.
     """
-    paths = list(paths)
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(paths)
+    listed = spark.read.option("pathGlobFilter", "*.csv").text(list(paths)).inputFiles()
+    files = [unquote(name) for name in listed]
+    first = {path: (size, line) for path, size, line in _first_lines(spark, files)}
     # A local path is written with one slash by the one and with three by the other.
-    path = F.regexp_replace(F.col("path"), "^file:/+", "file:/").alias("path")
-    listing = spark.createDataFrame([(name,) for name in lines.inputFiles()], "path string")
-    listing = listing.select(path)
-    first = (
-        lines.select(
-            F.col("_metadata.file_path").alias("path"),
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("place"),
-            F.col("_metadata.file_size").alias("bytes"),
-            "value",
-        )
-        .withColumn("path", path)
-        .filter(F.col("place.block") == 0)
-        .groupBy("path")
-        .agg(F.min_by("value", "place").alias("line"), F.first("bytes").alias("bytes"))
-    )
+    rows = [
+        (re.sub("^file:/+", "file:/", name), *first.get(file, (0, None)))
+        for name, file in zip(listed, files)
+    ]
+    table = spark.createDataFrame(rows, "path string, bytes long, line string")
     line = F.regexp_replace(F.regexp_replace("line", "^﻿", ""), "\r$", "")
     names = F.transform(F.split(line, _COMMA), lambda name: F.regexp_replace(name, '^"|"$', ""))
     header = F.when(F.coalesce(line, F.lit("")) != "", names).otherwise(F.array())
-    return listing.join(first, "path", "left").select(
-        "path",
-        F.coalesce("bytes", F.lit(0)).alias("bytes"),
-        header.cast("array<string>").alias("header"),
-    )
+    return table.select("path", "bytes", header.cast("array<string>").alias("header"))
 
 
 def header_check(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
