@@ -49,9 +49,11 @@ RANKED = 1 << 16
 TILE = 512
 # A tile with this many pairs of a buffer is counted by direct address.
 DENSE = TILE * TILE // 8
-BUFFER = 1 << 20
+BUFFER = 1 << 18
 BITS = 1 << 25
-_ROWS = 1 << 17
+_ROWS = 1 << 16
+# Rows of a batch that are looked at together.
+_AT_ONCE = 500
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -67,6 +69,13 @@ def phrase_code(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 # --- words ---
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in small batches, so that a batch of long texts is not held twice."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _AT_ONCE):
+            yield batch.slice(at, _AT_ONCE)
+
+
 def _coded(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Per slice: bytes; start, end, text number and code of every word, and whether the next word
     follows in the same piece."""
@@ -108,7 +117,7 @@ def _merged(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: list[pa.RecordBatch] = []
     held = 0
-    for batch in batches:
+    for batch in _parts(batches):
         langs = batch.column("lang")
         for part, starts, ends, owner, codes, _ in _coded(batch):
             found, first, n = np.unique(codes, return_index=True, return_counts=True)
@@ -262,7 +271,7 @@ def _count_pairs(
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
-        for batch in batches:
+        for batch in _parts(batches):
             for *_, codes, follows in _coded(batch):
                 parts.append(_pairs(codes, follows, levels))
                 held += len(parts[-1][0])
