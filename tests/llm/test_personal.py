@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+from collections import Counter
 
 import pytest
 from hypothesis import given
@@ -117,6 +118,21 @@ def test_adds_forms_that_no_base_rule_knows(known_texts):
     assert false <= 0.02 * 1500
 
 
+def test_every_example_counts(spark):
+    texts = [f"call +1 ({i % 900 + 100}) 555-{i % 9000 + 1000} or total {10**8 + i * 7}"
+             for i in range(25_000)]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(-1, texts[0])] * 3
+    found = p.search(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    plain = Counter()
+    for text in texts:
+        plain.update((kind, label, tuple(x)) for kind, label, x in p.propose(text)[2])
+    assert sum(plain.values()) > 90_000
+    got = Counter()
+    for r in p.counted_examples(found).collect():
+        got[r["kind"], r["label"], tuple(r["inputs"])] += int(r["n"])
+    assert got == plain
+
+
 _texts = {}
 
 
