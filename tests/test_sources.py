@@ -181,3 +181,14 @@ def test_shared_folder_comes_from_the_session():
     assert shared_folder(named) == "hdfs://nn/shared"
     unnamed = _Session(**{"spark.sql.warehouse.dir": "hdfs://nn/warehouse"})
     assert shared_folder(unnamed) == "hdfs://nn/warehouse/shared"
+
+
+def test_raw_records_are_joined_once_for_all_files(spark, monkeypatch):
+    from tidemark.catalog import bindings, queries
+
+    calls, raw = [], bindings.flights_raw
+    monkeypatch.setattr(bindings, "flights_raw", lambda *a: calls.append(1) or raw(*a))
+    made = queries._saved_raw(spark, "/root/testdata/sf0.001")
+    assert not any("/lineitem" in name for name in made.inputFiles())
+    queries.checked_headers(spark, "/root/testdata/sf0.001").collect()
+    assert len(calls) == 2
