@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
+from tidemark.operators import slots as slots_module
 from tidemark.operators.ordering import lower_quantile, number_rows, running_totals
 from tidemark.operators.slots import attach_slots, exact_medians, rank_slots, saved_slots
 
@@ -67,6 +68,20 @@ def test_medians_leave_out_missing_numbers(spark):
     assert exact_medians(df.limit(0), ["size"]).collect() == []
 
 
+def test_medians_of_many_values_shuffle_few(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(rng.gauss(0, 1), float(i % 3), None if i % 5 else -0.0) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "many double, few double, gaps double").repartition(5)
+    counted = []
+    whole = slots_module.lower_quantile
+    monkeypatch.setattr(
+        slots_module, "lower_quantile", lambda c, *a: counted.append(c.count()) or whole(c, *a))
+    found = {r["feature"]: (r["value"], r["n"]) for r in exact_medians(df, df.columns).collect()}
+    assert found == {"many": (statistics.median_low([r[0] for r in rows]), 40_000),
+                     "few": (1.0, 40_000), "gaps": (0.0, 8_000)}
+    assert counted[0] < 200
+
+
 def test_slots_are_those_of_the_string_indexer(spark):
     rng = random.Random(4)
     rows = [(rng.choice(["r"] * 9 + list("ägbxyz")) if rng.random() < 0.95 else None,
