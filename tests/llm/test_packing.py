@@ -114,5 +114,24 @@ def test_pieces_and_sequences(request, which, capacity):
     assert len(bins) <= -(-sum(r["length"] for r in rows) // capacity) * 1.05 + 1
 
 
+def test_ids_pass_through_no_python_once_encoded(documents, plan):
+    packed = packing.pack(documents, with_ids=True)
+    assert "Join" in plan(packed) and "InArrow" not in plan(packed)
+
+
+def test_ids_leave_the_encoder_a_slice_of_text_at_a_time():
+    import pyarrow as pa
+
+    from tidemark.llm.arrays import in_slices
+
+    texts = ["a" * 600, None, "", "b" * 500, "c" * 2500, "d"] * 3
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(18)), "text": texts})
+    parts = list(in_slices([batch, batch.slice(0, 0)], "text", 1000))
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch])
+    for part in parts:
+        sizes = [len(text or "") for text in part.column("text").to_pylist()]
+        assert sum(sizes) <= 1000 or len(sizes) == 1
+
+
 def test_no_documents(documents):
     assert packing.pack(documents.limit(0)).isEmpty()

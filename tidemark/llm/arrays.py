@@ -6,7 +6,7 @@ of a single text, where one text is larger) and not the size of a batch or parti
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,15 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+def in_slices(
+    batches: Iterable[pa.RecordBatch], text: str, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut into ones of about ``size`` bytes of text; a longer text comes alone."""
+    for batch in batches:
+        for first, last in slices(texts(batch.column(text))[1], size):
+            yield batch.slice(first, last - first)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: a bijection that spreads every bit over all others."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

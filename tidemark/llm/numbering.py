@@ -29,10 +29,15 @@ class Running:
         return numbers
 
 
-def move_by_task(rows: DataFrame, key: str, number: str, task: str = "task") -> DataFrame:
-    """Turn numbers within (task, key) of a written table into numbers within key; drops task."""
+def moves_by_task(rows: DataFrame, key: str, task: str = "task") -> DataFrame:
+    """``<key>, <task>, n, move``: a task's rows of the key, and those that earlier tasks have."""
     earlier = Window.partitionBy(key).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy(key, task).agg(F.count("*").alias("n"))
-    moves = counts.select(key, task, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("move"))
+    return counts.withColumn("move", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
+def move_by_task(rows: DataFrame, key: str, number: str, task: str = "task") -> DataFrame:
+    """Turn numbers within (task, key) of a written table into numbers within key; drops task."""
+    moves = moves_by_task(rows, key, task).drop("n")
     moved = rows.join(moves, [key, task]).withColumn(number, F.col(number) + F.col("move"))
     return moved.select(*[name for name in rows.columns if name != task])

@@ -11,7 +11,8 @@ the corpus. On them the driver plans:
 
 The plan is a list of placements, each saying where a run of equal lengths goes. Every step uses
 up a length or a set of sequences with equal room, so there are a few times ``capacity``
-placements at most; tasks look their pieces up in it by length and number.
+placements at most; pieces are joined to those of their length and looked up by number. Ids leave
+the encoder a slice of text at a time, and pass through no Python after that.
 
 A null text is empty; an empty text is its end id alone. A very long text is cut into pieces, the
 last of which may be shorter. Pieces of equal length are interchangeable: which goes where follows
@@ -30,16 +31,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import ragged
-from tidemark.llm.numbering import Running, move_by_task
+from tidemark.llm.arrays import in_slices, ragged
+from tidemark.llm.numbering import Running, moves_by_task
 from tidemark.llm.tokens import encoder, vocabulary_path
 from tidemark.sources.shared import save_shared
 
 CAPACITY = 4096
-_NUMBER_BITS = 48
 
 
 # --- the plan ---
@@ -211,9 +211,9 @@ def _cut(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, running = encoder(path).encode, Running(capacity + 1)
         task = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             ids, bounds = encode(batch.column("text"))
-            ids, sizes = ids.astype("<u4"), np.diff(bounds)
+            ids, sizes = ids.astype("<u4", copy=False), np.diff(bounds)
             pieces = -(-sizes // capacity)
             piece = ragged(np.zeros(len(pieces)), pieces)
             document = np.repeat(np.arange(len(pieces)), pieces)
@@ -234,7 +234,7 @@ def _cut(
             if with_ids:
                 parts = np.append(0, np.cumsum(lengths)).astype(np.int32)
                 columns["ids"] = pa.ListArray.from_arrays(
-                    pa.array(parts), pa.array(ids.astype(np.int32))
+                    pa.array(parts), pa.array(ids.view(np.int32))
                 )
             yield pa.RecordBatch.from_pydict(columns)
 
@@ -252,22 +252,45 @@ def cut_pieces(
     return save_shared(columns.mapInArrow(cut, schema), "pieces")
 
 
-def _locate(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    table = np.array(sorted(plan.placements), np.int64).reshape(-1, 6)
-    keys = (table[:, 0] << _NUMBER_BITS) + table[:, 1]
+def _placements(spark: SparkSession, plan: Plan) -> DataFrame:
+    """``length, places``: where the plan puts the pieces of each length, one row per length."""
+    rows = spark.createDataFrame(
+        plan.placements,
+        "length long, first long, count long, sequence long, each long, begin long",
+    )
+    place = F.struct("first", "count", "sequence", "each", "begin")
+    return rows.groupBy("length").agg(F.collect_list(place).alias("places"))
 
-    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, number = (batch.column(c).to_numpy() for c in ("length", "number"))
-            row = table[np.searchsorted(keys, (length << _NUMBER_BITS) + number, "right") - 1]
-            nth = number - row[:, 1]
-            names = [n for n in batch.schema.names if n != "number"]
-            columns = {n: batch.column(n) for n in names}
-            columns["sequence_id"] = pa.array(row[:, 3] + nth // row[:, 4], pa.int64())
-            columns["offset"] = pa.array(row[:, 5] + nth % row[:, 4] * length, pa.int64())
-            yield pa.RecordBatch.from_pydict(columns)
 
-    return locate
+def _locate(pieces: DataFrame, plan: Plan) -> DataFrame:
+    """Pieces with their ``sequence_id`` and ``offset``, without ``task`` and ``number``.
+
+    A task's pieces of one length need only those places that their numbers reach, so few come with
+    each. The ids stay in Spark's rows: only the narrow columns are looked at.
+    """
+
+    def reached(place: Column, first: Column, n: Column) -> Column:
+        return (place["first"] < first + n) & (place["first"] + place["count"] > first)
+
+    move, n = F.col("move"), F.col("n")
+    moves = moves_by_task(pieces, "length").join(_placements(pieces.sparkSession, plan), "length")
+    moves = moves.select(
+        "length", "task", "move",
+        F.filter("places", lambda place: reached(place, move, n)).alias("places"),
+    )
+    number = F.col("number") + move
+    place = F.filter("places", lambda place: reached(place, number, F.lit(1)))[0]
+    kept = [name for name in pieces.columns if name not in ("task", "number")]
+    return (
+        pieces.join(moves, ["length", "task"])
+        .select(*kept, place.alias("place"), number.alias("number"))
+        .withColumn("nth", F.expr("number - place.first"))
+        .select(
+            *kept,
+            F.expr("place.sequence + nth div place.each").alias("sequence_id"),
+            F.expr("place.begin + nth % place.each * length").alias("offset"),
+        )
+    )
 
 
 def pack(
@@ -278,11 +301,7 @@ def pack(
     pieces = cut_pieces(documents, capacity, vocabulary, with_ids)
     counted = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()
     plan = plan_packing({row["length"]: row["n"] for row in counted}, capacity)
-    numbered = move_by_task(pieces, "length", "number")
-    schema = "".join(
-        f"{f.name} {f.dataType.simpleString()}, " for f in numbered.schema if f.name != "number"
-    )
-    return numbered.mapInArrow(_locate(plan), schema + "sequence_id long, offset long")
+    return _locate(pieces, plan)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
