@@ -7,15 +7,20 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.operators.accepted import unique_rows
 from tidemark.operators.logistic import (
     coefficients,
     fit_logistic,
+    fit_penalties,
     fixed_score,
     grid_metrics,
+    iterations,
     score_grid,
     score_rows,
     slot_names,
@@ -27,7 +32,7 @@ from tidemark.operators.staging import stage
 from tidemark.plans.concurrent import side_by_side
 from tidemark.sources.committed import committed_folder, committed_manifest
 from tidemark.sources.csv_files import RAW_COLUMNS
-from tidemark.sources.shared import save_shared
+from tidemark.sources.shared import save_shared, written
 from tidemark.sources.sinks import load_models, save_models
 from tidemark.spec import ModelGrid
 
@@ -294,6 +299,74 @@ def test_largest_coefficients_come_first(fitted):
     assert top == sorted((abs(float(w)) for w in model.coefficients), reverse=True)[:3]
 
 
+# --- the solver ---
+
+
+@pytest.mark.parametrize("reg_param", [0.0, 0.02, 1.0])
+def test_fits_are_those_of_sparks_solver(spark, fitted, reg_param):
+    """Also in slots that always add up to one, where an unpenalised fit is not the only one."""
+    train, preprocessor = fitted
+    features = preprocessor.transform(train)
+    model = fit_logistic(features, reg_param)
+    other = LogisticRegression(
+        family="binomial", regParam=reg_param, maxIter=500, tol=1e-13, standardization=False
+    ).fit(features)
+    assert model.coefficients.toArray() == pytest.approx(other.coefficients.toArray(), abs=2e-4)
+    assert model.intercept == pytest.approx(other.intercept, abs=2e-4)
+    assert model.getRegParam() == reg_param and model.numFeatures == other.numFeatures
+
+
+def test_all_penalties_share_a_few_passes(spark, fitted):
+    train, preprocessor = fitted
+    features = preprocessor.transform(train).select("label", "features").localCheckpoint()
+    read = spark.sparkContext._jsc.sc()
+    first = read.dagScheduler().nextJobId()
+    models = fit_penalties(features, [0.0, 0.001, 0.01, 0.1], 100)
+    assert list(models) == [0.0, 0.001, 0.01, 0.1]
+    assert max(iterations(model) for model in models.values()) < 10
+    # Up to three jobs each: a summary, and one pass per step.
+    assert read.dagScheduler().nextJobId() - first < 40
+
+
+def test_dense_vectors_far_off_zero_and_rare_slots(spark):
+    rng = random.Random(5)
+    made = []
+    for i in range(400):
+        far, rare = 1e6 + rng.random(), float(i % 100 == 0)
+        label = float(rng.random() < 0.2 + 0.5 * (far - 1e6))
+        made.append((label, Vectors.dense([far, rare, 3.0, rng.gauss(0, 1)])))
+    made += [(y, Vectors.sparse(4, [(j, v) for j, v in enumerate(x) if v])) for y, x in made]
+    frame = spark.createDataFrame(made, ["label", "features"])
+    model = fit_logistic(frame, 0.0)
+    assert model.coefficients[2] == 0.0
+    found = gradients({0.0: model}, frame).collect()
+    assert max(abs(r["gradient"]) for r in found if r["slot"] != 0) < 1e-6
+    centred = frame.select("label", (vector_to_array("features")[0] - 1e6).alias("x"),
+                           *[vector_to_array("features")[i].alias(f"x{i}") for i in (1, 3)])
+    inputs = VectorAssembler(inputCols=["x", "x1", "x3"], outputCol="features").transform(centred)
+    other = fit_logistic(inputs, 0.0)
+    assert model.coefficients[0] == pytest.approx(other.coefficients[0], rel=1e-6)
+
+
+def test_separable_classes_and_one_class_end(spark):
+    rows = [(float(i > 5), Vectors.dense([float(i), 1.0])) for i in range(12)]
+    frame = spark.createDataFrame(rows, ["label", "features"])
+    model = fit_logistic(frame, 0.0)
+    scores = score_rows(model, frame).collect()
+    assert all((r["probability_score"] > 0.999) == (r["label"] == 1) for r in scores)
+    alone = fit_logistic(frame.filter("label = 1"), 0.1)
+    assert alone.coefficients.toArray().tolist() == [0.0, 0.0] and alone.intercept > 0
+    with pytest.raises(Exception):
+        fit_logistic(frame.limit(0), 0.1)
+
+
+def test_inputs_are_written_for_the_fit_alone(spark):
+    with written(spark.range(5), "rows") as rows:
+        (path,) = {str(Path(f.removeprefix("file:")).parent) for f in rows.inputFiles()}
+        assert rows.count() == 5 and Path(path).exists()
+    assert not Path(path).exists()
+
+
 # --- side by side ---
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import spec
 from tidemark.operators.baseline import compare, constant_baseline, majority_class
 from tidemark.operators.errors import top_errors
+from tidemark.operators.logistic import iterations
 from tidemark.operators.ranking import roc_auc
 from tidemark.operators.selection import best_per_group
 from tidemark.operators.splits import (
@@ -120,7 +121,7 @@ def summary_document(
         "max_iterations": config.grid.max_iterations,
         "refit_on_train_plus_validation": config.refit,
         "intercept": float(fitted.model.intercept),
-        "iterations_completed": int(fitted.model.summary.totalIterations),
+        "iterations_completed": iterations(fitted.model),
     }
 
     def literal(values: dict[str, object]):
