@@ -1,5 +1,6 @@
 """The pipeline's stages: columns, decisions, and the whole run against stage-by-stage checks."""
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -35,6 +36,25 @@ def test_columns_of_documents_stay(stages):
         assert [f.dataType for f in after.schema] == [f.dataType for f in before.schema]
 
 
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_texts_pass_to_python_by_few_mb(spark, stage):
+    """Also when rows are computed, which is after the stage has returned."""
+
+    def largest(batches):
+        yield pa.RecordBatch.from_pydict({"size": [max((b.nbytes for b in batches), default=0)]})
+
+    own = spark.newSession()
+    none = own.createDataFrame([], "doc_id long, text string")
+    stage(own, none, SF)
+    docs = own.range(0, 30, 1, 1).selectExpr("id", "repeat('some words ', 100000) AS text")
+    sizes = docs.mapInArrow(largest, "size long").collect()
+    assert 0 < sizes[0]["size"] < 8 << 20
+    mine = spark.newSession()
+    mine.conf.set(corpus_pipeline.BATCH_BYTES, "1m")
+    stage(mine, mine.createDataFrame([], "doc_id long, text string"), SF)
+    assert mine.conf.get(corpus_pipeline.BATCH_BYTES) == "1m"
+
+
 def test_filters_only_take_rows(stages):
     for name in ("toxicity", "near_duplicates", "decontamination"):
         before, after = stages[name]
