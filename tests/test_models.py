@@ -360,6 +360,20 @@ def test_separable_classes_and_one_class_end(spark):
         fit_logistic(frame.limit(0), 0.1)
 
 
+def test_classes_that_can_be_told_apart_take_few_passes(spark):
+    """Plain Newton steps would take one pass for every factor of e in the loss."""
+    rng = random.Random(9)
+    points = [[rng.gauss(0, 1) for _ in range(3)] for _ in range(300)]
+    rows = [(float(x[0] + 0.5 * x[1] > 0.3), Vectors.dense(x)) for x in points]
+    frame = spark.createDataFrame(rows, ["label", "features"])
+    models = fit_penalties(frame, [0.0, 0.1])
+    assert iterations(models[0.0]) <= 15
+    scores = score_rows(models[0.0], frame).collect()
+    assert all((r["probability_score"] > 0.5) == (r["label"] == 1) for r in scores)
+    flat = gradients(models, frame).filter(~is_flat(0.03)).collect()
+    assert flat == []
+
+
 def test_inputs_are_written_for_the_fit_alone(spark):
     with written(spark.range(5), "rows") as rows:
         (path,) = {str(Path(f.removeprefix("file:")).parent) for f in rows.inputFiles()}
