@@ -1,10 +1,14 @@
 """The pipeline's stages: columns, decisions, and the whole run against stage-by-stage checks."""
 
+import random
+import tracemalloc
+
 import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import toxicity
+from tidemark.llm import charmodel, near_duplicates, toxicity
+from tidemark.llm.tokens import encoder, vocabulary_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -239,3 +243,21 @@ def test_a_run_leaves_only_its_result(spark):
     before = set(shared.glob("pipeline-*/*"))
     corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert [p.name for p in set(shared.glob("pipeline-*/*")) - before] == ["packing"]
+
+
+@pytest.mark.parametrize("work", [
+    lambda batch: list(charmodel._count(iter([batch]))),
+    lambda batch: list(near_duplicates._sets(iter([batch]))),
+    lambda batch: encoder(vocabulary_path()).encode(batch.column("text")),
+], ids=["letters", "shingles", "tokens"])
+def test_a_batch_takes_little_memory_beside_itself(work):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    work(batch.slice(0, 1))
+    tracemalloc.start()
+    work(batch)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 25

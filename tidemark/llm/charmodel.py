@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import slices, texts
+from tidemark.llm.arrays import released, slices, texts
 
 SYMBOLS = 27  # a word end, then a-z
 ORDER = 4
@@ -72,7 +72,7 @@ def folded_words(raw: bytes) -> list[bytes]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(_CODES, np.int64)
-    for batch in batches:
+    for batch in released(batches):
         data, offsets = texts(batch.column("text"))
         for first, last in slices(offsets):
             inner = offsets[first : last + 1]

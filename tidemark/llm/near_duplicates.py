@@ -52,6 +52,7 @@ from tidemark.llm.arrays import (
     LOWER,
     mix,
     prefix_sums,
+    released,
     slices,
     substring_hash,
     texts,
@@ -105,7 +106,7 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         sizes, nodes, marks = [], [], []
         for hashes, bounds in shingle_sets(batch.column("text")):
             for a, b in zip(bounds[:-1], bounds[1:]):
@@ -209,7 +210,7 @@ def _prune(
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         nodes, sets = [], []
         for hashes, bounds in shingle_sets(batch.column("text")):
             for a, b in zip(bounds[:-1], bounds[1:]):

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import in_slices, ragged
+from tidemark.llm.arrays import in_slices, ragged, released
 from tidemark.llm.numbering import Running, moves_by_task
 from tidemark.llm.tokens import encoder, vocabulary_path
 from tidemark.sources.shared import save_shared
@@ -211,7 +211,7 @@ def _cut(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, running = encoder(path).encode, Running(capacity + 1)
         task = TaskContext.get().partitionId()
-        for batch in in_slices(batches, "text"):
+        for batch in in_slices(released(batches), "text"):
             ids, bounds = encode(batch.column("text"))
             ids, sizes = ids.astype("<u4", copy=False), np.diff(bounds)
             pieces = -(-sizes // capacity)

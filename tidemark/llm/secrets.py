@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import texts
+from tidemark.llm.arrays import released, texts
 from tidemark.llm.trigrams import Postings, Query, trigram_query
 
 
@@ -147,7 +147,7 @@ def _masking(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in released(batches):
             column = batch.column("text")
             changed = [
                 masked(text, spans) if spans else text

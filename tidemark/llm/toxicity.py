@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import slices, texts
+from tidemark.llm.arrays import released, slices, texts
 from tidemark.llm.charmodel import (
     Restorer,
     costs,
@@ -262,7 +262,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 def _keep_clean(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, evidence = Restorer(model.letters), _Evidence(model.signals)
-        for batch in batches:
+        for batch in released(batches):
             chance, _ = _scores(batch, model, restorer, evidence)
             yield batch.filter(pa.array(chance < 0.5))
 
