@@ -6,6 +6,8 @@ import threading
 import time
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -13,8 +15,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from tidemark.operators import newton
 from tidemark.operators.accepted import unique_rows
 from tidemark.operators.logistic import (
+    carried,
     coefficients,
     fit_logistic,
     fit_penalties,
@@ -374,6 +378,117 @@ def test_classes_that_can_be_told_apart_take_few_passes(spark):
     assert flat == []
 
 
+def test_blocks_give_back_every_row():
+    """Also rows whose batches have other slots in common, values other than 1, and empty rows."""
+    rng = np.random.default_rng(3)
+    expected, batches = [], []
+    for usual in ([5], [1, 5], []):
+        rows = []
+        for i in range(50):
+            kept = {*usual, *rng.choice(6, rng.integers(0, 3)).tolist()} if i % 9 else set()
+            rows.append({j: 1.0 if j < 3 else float(rng.normal()) for j in sorted(kept)})
+        label = (np.arange(50) % 2).astype(float)
+        batches.append(pa.RecordBatch.from_pydict({
+            "label": label, "size": np.full(50, 6),
+            "indices": pa.array([list(row) for row in rows], pa.list_(pa.int32())),
+            "values": pa.array([list(row.values()) for row in rows], pa.list_(pa.float64())),
+        }))
+        expected += [[y, *(row.get(j, 0.0) for j in range(6))] for y, row in zip(label, rows)]
+    blocks = pa.Table.from_batches(newton._blocks(6)(iter(batches))).combine_chunks()
+    found = []
+    for batch in blocks.to_batches(max_chunksize=5):
+        for slots, labels, common, counts, indices, values in newton._rows(batch):
+            whole = np.zeros((len(labels), 6))
+            whole[:, slots] = common
+            whole[np.repeat(np.arange(len(labels)), counts), indices] += values
+            found += np.column_stack([labels, whole]).tolist()
+    assert sorted(found) == sorted(expected)
+
+
+def test_gradients_of_blocks_equal_sparks_sums(spark, fitted):
+    train, preprocessor = fitted
+    features = preprocessor.transform(train).select("label", "features")
+    models = {reg: fit_logistic(features, reg, 2) for reg in (0.0, 0.3)}
+    with newton.in_blocks(features) as blocks:
+        found = gradients(models, features, blocks)
+        plain = gradients(models, features)
+        assert found.dtypes == plain.dtypes
+        pairs = zip(*(df.orderBy("reg_param", "slot").collect() for df in (found, plain)))
+        for own, other in pairs:
+            assert tuple(own) == pytest.approx(tuple(other), abs=1e-12)
+
+
+def test_training_rows_are_made_once_for_fit_and_proof(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    raw = spark.range(0, 4000, 1, 8).mapInArrow(counting, "id long")
+    inputs = raw.select((F.col("id") % 3 == 0).cast("double").alias("label"),
+                        (F.col("id") % 7).cast("double").alias("x"))
+    training = VectorAssembler(inputCols=["x"], outputCol="features").transform(inputs)
+    with newton.in_blocks(training) as blocks:
+        models = fit_penalties(training, [0.0, 0.1], blocks=blocks)
+        assert gradients(models, training, blocks).filter(~is_flat(0.03)).count() == 0
+    # The first row is looked at beforehand, which takes its partition.
+    assert read.value <= 4000 + 500
+
+
+@pytest.mark.parametrize("reg_param", [0.0, 0.02])
+def test_a_start_saves_passes_and_changes_nothing(spark, fitted, reg_param):
+    """Also where the start differs by what no score depends on: all slots of a category."""
+    train, preprocessor = fitted
+    features = preprocessor.transform(train).select("label", "features")
+    plain = fit_logistic(features, reg_param)
+    weights = plain.coefficients.toArray().copy()
+    off = np.array([name.startswith("colour") for name in slot_names(preprocessor)]) * 0.7
+    assert off.any() and not off.all()
+    shift = off if reg_param == 0 else 0 * off
+    begun = fit_logistic(features, reg_param, start=(weights + shift, plain.intercept - 0.7))
+    assert begun.coefficients.toArray() == pytest.approx(weights, abs=1e-4)
+    assert begun.intercept == pytest.approx(plain.intercept, abs=1e-4)
+    near = fit_logistic(features, reg_param, start=(weights, plain.intercept))
+    assert iterations(near) == 1 < iterations(plain)
+    assert near.coefficients.toArray() == pytest.approx(weights, abs=1e-6)
+    # A start far off is not taken.
+    far = fit_logistic(features, reg_param, start=(weights + 50, 30.0))
+    assert far.coefficients.toArray() == pytest.approx(weights, abs=1e-9)
+
+
+def test_coefficients_are_carried_to_other_slots(spark, fitted):
+    train, preprocessor = fitted
+    model = fit_logistic(preprocessor.transform(train), 0.01)
+    both = spark.createDataFrame([*rows(1), *rows(2, colours="bbbbbbbnnn")], SCHEMA)
+    other = fit_preprocessor(both, CATEGORIES, NUMBERS)
+    weights, intercept = carried(model, preprocessor, other)
+    names = slot_names(other)
+    assert len(weights) == len(names) and weights[names.index("colour__one_hot_n")] == 0.0
+    known = spark.createDataFrame(rows(3), SCHEMA)
+    scores = [r["probability_score"] for r in score_rows(
+        model, preprocessor.transform(known)).collect()]
+    vectors = [r["features"].toArray() for r in other.transform(known).collect()]
+    again = [1 / (1 + np.exp(-(x @ weights + intercept))) for x in vectors]
+    assert again == pytest.approx(scores, abs=1e-12)
+
+
+def test_rows_that_the_solver_cannot_take_are_left_to_sparks(spark):
+    made = [(float(i % 2), Vectors.dense([i, 1.0])) for i in range(20)]
+
+    def frame(rows):
+        return spark.createDataFrame(rows, ["label", "features"])
+
+    for odd in ((2.0, Vectors.dense([1.0, 1.0])), (1.0, Vectors.dense([float("inf"), 1.0])),
+                (1.0, Vectors.dense([1.0])), (None, Vectors.dense([1.0, 1.0])), (1.0, None)):
+        with newton.in_blocks(frame([*made, odd])) as blocks:
+            assert blocks is None
+    with newton.in_blocks(frame(made)) as blocks:
+        assert blocks.known.n == 20 and blocks.known.mean[0] == pytest.approx(9.5)
+        assert blocks.known.deviation.tolist() == pytest.approx([statistics.stdev(range(20)), 0])
+
+
 def test_inputs_are_written_for_the_fit_alone(spark):
     with written(spark.range(5), "rows") as rows:
         (path,) = {str(Path(f.removeprefix("file:")).parent) for f in rows.inputFiles()}
