@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tidemark.operators import newton
+from tidemark.operators import newton, slots
 from tidemark.operators.accepted import unique_rows
 from tidemark.operators.logistic import (
     carried,
@@ -303,6 +303,41 @@ def test_largest_coefficients_come_first(fitted):
     assert top == sorted((abs(float(w)) for w in model.coefficients), reverse=True)[:3]
 
 
+def test_medians_need_a_sketch_only_where_values_crowd(spark, monkeypatch):
+    rng = random.Random(11)
+    n = 1001
+    made = {
+        "even": [rng.uniform(-5, 5) for _ in range(n)],
+        "ties": [float(rng.randrange(3)) for _ in range(n)],
+        "flat": [2.5] * n,
+        "gaps": [rng.choice([None, float("nan"), rng.gauss(0, 1)]) for _ in range(n)],
+        "none": [None] * n,
+        "pair": [1.0, 2.0] + [None] * (n - 2),
+        "crowd": [1e300] + [rng.random() for _ in range(n - 1)],
+        "endless": [float("inf"), float("-inf")] + [rng.random() for _ in range(n - 2)],
+        "tiny": [rng.randrange(2) * 5e-324 for _ in range(n)],
+    }
+    frame = spark.createDataFrame(
+        list(zip(*made.values())), ", ".join(f"{name} double" for name in made))
+    sketched = []
+    plain = slots.F.percentile_approx
+
+    def noted(*args):
+        sketched.append(args[0])
+        return plain(*args)
+
+    monkeypatch.setattr(slots.F, "percentile_approx", noted)
+    found = {r["feature"]: (r["value"], r["n"]) for r in exact_medians(frame, list(made)).collect()}
+    held = {name: [x for x in values if x is not None and x == x] for name, values in made.items()}
+    assert found == {
+        name: (statistics.median_low(values), len(values)) for name, values in held.items() if values}
+    assert len(sketched) == 3
+    monkeypatch.setattr(slots, "BUCKETS", 3)
+    monkeypatch.setattr(slots, "CROWDED", 1.0)
+    assert found == {
+        r["feature"]: (r["value"], r["n"]) for r in exact_medians(frame, list(made)).collect()}
+
+
 # --- the solver ---
 
 
